@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripwright.schemas import HEADER_TO_NAME, RAW, SOURCE_COLUMNS
+from tripwright.schemas import HEADER_TO_NAME, SOURCE_COLUMNS
 
 
-def _by_exact_header(df: DataFrame) -> DataFrame:
-    """Rename by position: headers match by exact case, Spark's resolution does not.
+def _names(schema: T.StructType) -> list[str]:
+    """Column names by exact header, for a rename by position.
 
-    Columns that are not expected get a name that no lookup can hit.
+    Headers match by case while Spark's name resolution does not, so a column that is
+    not expected gets a name no lookup can hit.
     """
     expected = set(HEADER_TO_NAME.values())
-    names = [HEADER_TO_NAME.get(header, header) for header in df.columns]
-    return df.toDF(*[name if name in expected else f"_extra_{i}" for i, name in enumerate(names)])
+    names = [HEADER_TO_NAME.get(header, header) for header in schema.names]
+    return [name if name in expected else f"_extra_{i}" for i, name in enumerate(names)]
 
 
 def _as_type(column: Column, have: T.DataType, want: T.DataType) -> Column:
@@ -31,8 +33,8 @@ def _as_type(column: Column, have: T.DataType, want: T.DataType) -> Column:
     return column if have == want else column.cast(want)
 
 
-def _typed_columns(df: DataFrame) -> list[Column]:
-    have = {field.name: field.dataType for field in df.schema}
+def _typed_columns(schema: T.StructType) -> list[Column]:
+    have = dict(zip(_names(schema), (field.dataType for field in schema)))
     return [
         (_as_type(F.col(name), have[name], want) if name in have else F.lit(None).cast(want)).alias(name)
         for _, name, want in SOURCE_COLUMNS
@@ -41,8 +43,7 @@ def _typed_columns(df: DataFrame) -> list[Column]:
 
 def normalize_columns(df: DataFrame) -> DataFrame:
     """The 19 source columns in table order: absent ones NULL, unknown ones dropped."""
-    df = _by_exact_header(df)
-    return df.select(_typed_columns(df))
+    return df.toDF(*_names(df.schema)).select(_typed_columns(df.schema))
 
 
 def load_time(loaded_at: datetime | None = None) -> Column:
@@ -50,11 +51,18 @@ def load_time(loaded_at: datetime | None = None) -> Column:
     return now.cast("timestamp_ntz")
 
 
-def raw_rows(df: DataFrame, source_file: Column, loaded_at: datetime | None = None) -> DataFrame:
-    """Normalized rows plus the file they came from and the load time."""
-    df = _by_exact_header(df)
-    return df.select(
-        *_typed_columns(df),
-        source_file.alias("source_file"),
-        load_time(loaded_at).alias("loaded_at"),
-    ).select(RAW.names)
+def raw_rows_of(
+    schema: T.StructType, loaded_at: datetime | None = None
+) -> Callable[[DataFrame, str], DataFrame]:
+    """How files of one schema become raw rows: (scan, file name) -> rows.
+
+    The columns are built once and reused for every file that shares the schema.
+    """
+    names, columns = _names(schema), _typed_columns(schema)
+    loaded = load_time(loaded_at).alias("loaded_at")
+
+    def rows(scan: DataFrame, source_file: str) -> DataFrame:
+        provenance = F.lit(source_file).alias("source_file")
+        return scan.toDF(*names).select(*columns, provenance, loaded)
+
+    return rows

@@ -27,32 +27,36 @@ def _week(calendar: bool) -> tuple[WindowSpec, WindowSpec]:
     return by_date.rowsBetween(-6, 0), by_date
 
 
-def moving_averages(daily: DataFrame, calendar: bool = False) -> DataFrame:
+def _averages(calendar: bool) -> dict[str, Column]:
     week, _ = _week(calendar)
 
     def mean(name: str, digits: int) -> Column:
         return ratio(F.sum(name).over(week), F.count(name).over(week), digits)
 
-    return daily.withColumns(
-        {
-            "trips_7d_moving_avg": mean("total_trips", 1),
-            "revenue_7d_moving_avg": mean("total_revenue", 2),
-        }
-    )
+    return {
+        "trips_7d_moving_avg": mean("total_trips", 1),
+        "revenue_7d_moving_avg": mean("total_revenue", 2),
+    }
 
 
-def last_week(daily: DataFrame, calendar: bool = False) -> DataFrame:
+def _week_earlier(calendar: bool) -> dict[str, Column]:
     _, week_ago = _week(calendar)
 
     def earlier(name: str) -> Column:
         return (F.max(name) if calendar else F.lag(name, 7)).over(week_ago)
 
-    return daily.withColumns(
-        {
-            "trips_same_day_last_week": earlier("total_trips"),
-            "revenue_same_day_last_week": earlier("total_revenue"),
-        }
-    )
+    return {
+        "trips_same_day_last_week": earlier("total_trips"),
+        "revenue_same_day_last_week": earlier("total_revenue"),
+    }
+
+
+def moving_averages(daily: DataFrame, calendar: bool = False) -> DataFrame:
+    return daily.withColumns(_averages(calendar))
+
+
+def last_week(daily: DataFrame, calendar: bool = False) -> DataFrame:
+    return daily.withColumns(_week_earlier(calendar))
 
 
 def growth(df: DataFrame) -> DataFrame:
@@ -90,9 +94,10 @@ def demand_trend(growth_pct: Column) -> Column:
 def revenue_trends(daily: DataFrame, calendar: bool = False) -> DataFrame:
     """The trends mart. Growth is derived from lag columns computed once."""
     kept = [name for name in TRENDS.names if name in daily.columns]
-    days = daily.select(kept).transform(moving_averages, calendar).transform(last_week, calendar)
     return (
-        days.transform(growth)
+        daily.select(kept)
+        .withColumns({**_averages(calendar), **_week_earlier(calendar)})
+        .transform(growth)
         .transform(rank_in_month)
         .withColumns(
             {

@@ -5,13 +5,15 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripwright.functions.months import month_start, month_to_filename, months_due, next_month
 from tripwright.schemas import SOURCE_NAME
-from tripwright.sources.landing import month_rows, rows_of, rows_per_file, scan_months
+from tripwright.operators.normalize import raw_rows_of
+from tripwright.sources.landing import scan_months
 from tripwright.sources.tables import (
     Store,
     append_audit,
@@ -31,18 +33,32 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _write_one(spark, store, landing, month, loaded_at) -> dict[str, int]:
-    # observed above the write in its only stage, so a retried task counts once
-    seen = Observation()
-    rows = month_rows(spark, landing, month, loaded_at)
-    replace_files(rows.observe(seen, F.count(F.lit(1)).alias("rows")), store.raw)
-    return {month_to_filename(month): seen.get.get("rows", 0)}
-
+def _replace_months(
+    spark: SparkSession,
+    store: Store,
+    landing: str,
+    months: Sequence[str],
+    loaded_at: datetime | None,
+) -> dict[str, int]:
+    """Write the months in one job and return the rows of each file.
 
-def _write_many(spark, store, landing, months, loaded_at) -> dict[str, int]:
+    Every month is its own scan under a constant file name, so no row pays for finding
+    out where it came from. The counts are observed in the job's only stage, where a
+    retried task counts once.
+    """
+    seen = {month_to_filename(month): Observation() for month in months}
     scans = scan_months(spark, landing, months)
-    counts = dict.fromkeys(map(month_to_filename, months), 0) | rows_per_file(scans)
-    replace_files(rows_of(scans, loaded_at), store.raw)
+    schemas = {scan.schema.json(): scan.schema for scan in scans}
+    raw_rows = {key: raw_rows_of(schema, loaded_at) for key, schema in schemas.items()}
+    rows = F.count(F.lit(1)).alias("rows")
+    legs = [
+        raw_rows[scan.schema.json()](scan, file).observe(count, rows)
+        for scan, (file, count) in zip(scans, seen.items())
+    ]
+    replace_files(reduce(DataFrame.unionAll, legs), store.raw)
+    counts = {file: count.get.get("rows", 0) for file, count in seen.items()}
+    for file in [file for file, rows in counts.items() if rows == 0]:
+        clear_file(spark, store.raw, file)
     return counts
 
 
@@ -77,12 +93,7 @@ def load_months(
         append_audit(spark, store, rows)
 
     try:
-        if len(months) == 1:
-            counts = _write_one(spark, store, landing, months[0], loaded_at)
-        else:
-            counts = _write_many(spark, store, landing, months, loaded_at)
-        for file in [file for file, rows in counts.items() if rows == 0]:
-            clear_file(spark, store.raw, file)
+        counts = _replace_months(spark, store, landing, months, loaded_at)
         set_last_loaded_month(spark, store, source, month_start(months[-1]))
     except Exception as error:
         log.error("loading %s failed: %s", ", ".join(months), error)

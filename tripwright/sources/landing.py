@@ -6,16 +6,13 @@ A month is a file ``yellow_tripdata_<yyyy-MM>.parquet``, a folder of that name,
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.functions.months import filename_in, month_to_filename
-from tripwright.operators.normalize import raw_rows
+from tripwright.functions.months import month_to_filename
 
 
 def month_path(landing: str, month: str) -> str:
@@ -27,45 +24,10 @@ def scan_month(spark: SparkSession, landing: str, month: str) -> DataFrame:
     return spark.read.parquet(month_path(landing, month))
 
 
-def month_rows(
-    spark: SparkSession, landing: str, month: str, loaded_at: datetime | None = None
-) -> DataFrame:
-    """The raw rows of one month."""
-    source_file = F.lit(month_to_filename(month))
-    return raw_rows(scan_month(spark, landing, month), source_file, loaded_at)
-
-
-def scan_months(spark: SparkSession, landing: str, months: Iterable[str]) -> list[DataFrame]:
-    """One scan per distinct file schema: headers and types drift between months."""
-    months = list(months)
-    with ThreadPoolExecutor(8) as pool:  # each reads one footer
-        schemas = list(pool.map(lambda month: scan_month(spark, landing, month).schema, months))
-    paths: dict[str, list[str]] = {}
-    for month, schema in zip(months, schemas):
-        paths.setdefault(schema.json(), []).append(month_path(landing, month))
-    by_key = {schema.json(): schema for schema in schemas}
-    return [spark.read.schema(by_key[key]).parquet(*group) for key, group in paths.items()]
-
-
-def rows_of(scans: Iterable[DataFrame], loaded_at: datetime | None = None) -> DataFrame:
-    """The raw rows of some scans, each under the name of the file it came from."""
-    return reduce(
-        DataFrame.unionByName,
-        [
-            raw_rows(scan, filename_in(F.col("_metadata.file_path")), loaded_at)
-            for scan in scans
-        ],
-    )
-
-
-def rows_per_file(scans: Iterable[DataFrame]) -> dict[str, int]:
-    """Rows of each monthly file that has any, from file footers: no column is read."""
-    counted = reduce(
-        DataFrame.unionAll,
-        [scan.groupBy(F.col("_metadata.file_path").alias("path")).count() for scan in scans],
-    )
-    per_file = counted.groupBy(filename_in(F.col("path"))).agg(F.sum("count"))
-    return {file: rows for file, rows in per_file.collect()}
+def scan_months(spark: SparkSession, landing: str, months: Sequence[str]) -> list[DataFrame]:
+    """One scan per month, each by its own schema: headers and types drift over time."""
+    with ThreadPoolExecutor(8) as pool:  # a scan reads a footer to learn its schema
+        return list(pool.map(lambda month: scan_month(spark, landing, month), months))
 
 
 def write_landing(rows: DataFrame, landing: str) -> None:
