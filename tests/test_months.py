@@ -3,9 +3,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from tripwright.functions.months import (
-    day_of_week,
     filename_in,
-    filename_of,
     following_month,
     month_to_filename,
     months_due,
@@ -36,14 +34,9 @@ def test_months_due():
 
 def test_column_forms(spark):
     row = spark.range(1).select(
-        filename_of(F.lit("2024-12-31 23:59:59").cast("timestamp_ntz")).alias("of"),
         filename_in(F.lit("s3://b/yellow_tripdata_old/yellow_tripdata_2024-07.parquet")).alias("file"),
         filename_in(F.lit("/l/source_file=yellow_tripdata_2024-07.parquet/part-0.parquet")).alias("part"),
         following_month(F.lit(date(2024, 12, 1))).alias("following"),
-        day_of_week(F.lit(date(2024, 1, 7))).alias("sunday"),
-        day_of_week(F.lit(date(2024, 1, 13))).alias("saturday"),
     ).first()
-    assert row["of"] == "yellow_tripdata_2024-12.parquet"
     assert row["file"] == row["part"] == "yellow_tripdata_2024-07.parquet"
     assert row["following"] == "2025-01"
-    assert (row["sunday"], row["saturday"]) == (0, 6)

@@ -40,11 +40,6 @@ def months_due(last: date | None, now: date | datetime) -> list[str]:
     return due
 
 
-def filename_of(pickup: Column) -> Column:
-    """Name of the monthly file a pickup time belongs to."""
-    return F.concat(F.lit(FILE_PREFIX), F.date_format(pickup, "yyyy-MM"), F.lit(FILE_SUFFIX))
-
-
 def filename_in(path: Column) -> Column:
     """Name of the monthly file inside a path, be it the file or a folder of parts."""
     length = len("2024-01" + FILE_SUFFIX)
@@ -55,8 +50,3 @@ def filename_in(path: Column) -> Column:
 def following_month(last: Column) -> Column:
     """``yyyy-MM`` of the month after a first-of-month date."""
     return F.date_format(F.add_months(last, 1), "yyyy-MM")
-
-
-def day_of_week(day: Column) -> Column:
-    """0 for Sunday to 6 for Saturday."""
-    return F.dayofweek(day) - 1

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,20 +20,24 @@ class Check:
     high: float | None = None
     strictly: bool = False
 
-    def fails(self) -> Column:
-        """Predicate of the failing rows; ``unique`` has none, it spans rows."""
-        value = F.col(self.column)
+    def fails(self) -> str:
+        """SQL predicate of the failing rows; ``unique`` has none, it spans rows."""
         if self.name == "not_null":
-            return value.isNull()
+            return f"{self.column} IS NULL"
         if self.name == "accepted_values":
-            return ~value.isin(*self.values)
+            return f"{self.column} NOT IN ({', '.join(map(_literal, self.values))})"
         if self.name == "between":
-            if self.strictly:
-                return (value <= self.low) | (value >= self.high)
-            return (value < self.low) | (value > self.high)
+            below, above = ("<=", ">=") if self.strictly else ("<", ">")
+            return f"({self.column} {below} {self.low} OR {self.column} {above} {self.high})"
         raise ValueError(f"{self.name} is not a row check")
 
 
+def _literal(value: int | str) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 def not_null(column: str) -> Check:
     return Check(column, "not_null")
 
@@ -53,10 +57,11 @@ def between(column: str, low: float, high: float, strictly: bool = False) -> Che
 def violations(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Failing rows of the row checks, one per row and failed check, in one scan."""
     failed = [
-        F.when(check.fails(), F.struct(F.lit(check.column).alias("column_name"), F.lit(check.name).alias("check_name")))
+        f"if({check.fails()}, named_struct("
+        f"'column_name', '{check.column}', 'check_name', '{check.name}'), NULL)"
         for check in checks
     ]
-    return df.select(F.inline(F.array_compact(F.array(*failed))), *df.columns)
+    return df.selectExpr(f"inline(array_compact(array({', '.join(failed)})))", *df.columns)
 
 
 def duplicates(df: DataFrame, key: str) -> DataFrame:
@@ -75,24 +80,20 @@ def _failure_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     A uniqueness check turns the pass into a group-by on its key, which then carries
     the counts of the row checks along.
     """
-    counted = [
-        F.lit(0).cast("bigint") if c.name == "unique" else F.count_if(c.fails()) for c in checks
-    ]
-    counted = [column.alias(f"c{i}") for i, column in enumerate(counted)]
     key = next((c.column for c in checks if c.name == "unique"), None)
+    row_counts = [
+        F.expr(f"count_if({c.fails()}) AS c{i}") for i, c in enumerate(checks) if c.name != "unique"
+    ]
     if key is None:
-        return df.agg(*counted)
-    repeated = (F.col("copies") > 1) & F.col(key).isNotNull()
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("copies"), *counted)
-    return per_key.agg(
-        *[
-            (
-                F.count_if(repeated)
-                if c.name == "unique"
-                else F.coalesce(F.sum(f"c{i}"), F.lit(0).cast("bigint"))
-            ).alias(f"c{i}")
-            for i, c in enumerate(checks)
-        ]
+        return df.agg(*row_counts)
+    totals = [
+        f"count_if(copies > 1 AND {key} IS NOT NULL)" if c.name == "unique" else f"coalesce(sum(c{i}), 0L)"
+        for i, c in enumerate(checks)
+    ]
+    return (
+        df.groupBy(key)
+        .agg(F.expr("count(1) AS copies"), *row_counts)
+        .agg(*[F.expr(f"{total} AS c{i}") for i, total in enumerate(totals)])
     )
 
 
@@ -103,16 +104,11 @@ def report(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
     passes = [first, *[[unique(key)] for key in keys[1:]]]
 
     def rows(group: Sequence[Check]) -> DataFrame:
-        entries = [
-            F.struct(
-                F.lit(model).alias("model"),
-                F.lit(c.column).alias("column_name"),
-                F.lit(c.name).alias("check_name"),
-                F.col(f"c{i}").alias("failures"),
-            )
-            for i, c in enumerate(group)
-        ]
-        return _failure_counts(df, group).select(F.inline(F.array(*entries)))
+        entries = ", ".join(f"'{c.column}', '{c.name}', c{i}" for i, c in enumerate(group))
+        return _failure_counts(df, group).selectExpr(
+            f"'{model}' AS model",
+            f"stack({len(group)}, {entries}) AS (column_name, check_name, failures)",
+        )
 
     return reduce(DataFrame.unionByName, [rows(group) for group in passes])
 

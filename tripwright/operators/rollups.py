@@ -14,73 +14,73 @@ from pyspark.sql import functions as F
 from tripwright.functions.exact import cents, from_cents, ratio, rounded
 from tripwright.schemas import DAILY, ZONE
 
-
-def _trip_sums() -> dict[str, Column]:
-    miles = F.col("trip_distance")
-    finite = miles < float("inf")  # Spark orders NaN above every number
-    ride = F.expr("dropoff_at - pickup_at")
-    seconds = F.expr("CAST(CAST(dropoff_at - pickup_at AS INTERVAL SECOND) AS BIGINT)")
-    return {
-        "trips": F.count(F.lit(1)),
-        "passengers": F.sum("passenger_count"),
-        "whole_miles": F.sum(F.when(finite, F.floor(miles))),
-        "micro_miles": F.sum(F.when(finite, F.rint((miles - F.floor(miles)) * 1e6).cast("bigint"))),
-        "unbounded_distances": F.count_if(~finite),
-        "ride_seconds": F.sum(seconds),
-        "ride_remainder": F.sum(ride - F.make_dt_interval(secs=seconds)),
-        "revenue_cents": F.sum(cents(F.col("total_amount"))),
-        "tip_cents": F.sum(cents(F.col("tip_amount"))),
-        "tips": F.count("tip_amount"),
-    }
-
-
-def _measures() -> dict[str, Column]:
-    """Mart columns from the sums above."""
-    trips = F.col("trips")
-    micro = F.col("micro_miles").cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(6,6)")
-    # DECIMAL has no NaN or infinity: a group with such a distance has no total
-    miles = F.when(
-        F.col("unbounded_distances") == 0,
-        (F.col("whole_miles").cast("decimal(18,0)") + micro).cast("decimal(24,6)"),
-    )
-    seconds = F.col("ride_seconds").cast("decimal(18,0)") + F.expr(
-        "CAST(CAST(ride_remainder AS INTERVAL SECOND) AS DECIMAL(18,6))"
-    )
-    revenue, tips = from_cents(F.col("revenue_cents")), from_cents(F.col("tip_cents"))
-    return {
-        "total_trips": trips,
-        "total_passengers": F.col("passengers"),
-        "total_distance_miles": rounded(miles, 2),
-        "avg_distance_miles": ratio(miles, trips, 2),
-        "avg_duration_minutes": ratio(seconds, trips * 60, 1),
-        "total_revenue": rounded(revenue, 2),
-        "avg_fare": ratio(revenue, trips, 2),
-        "total_tips": rounded(tips, 2),
-        "avg_tip": ratio(tips, F.col("tips"), 2),
-        "tip_pct_of_revenue": ratio(
-            F.col("tip_cents").cast("decimal(18,0)") * 100, F.col("revenue_cents"), 2
-        ),
-    }
-
-
-def _agg(columns: dict[str, Column]) -> list[Column]:
-    return [column.alias(name) for name, column in columns.items()]
+_RIDE = "(dropoff_at - pickup_at)"
+_RIDE_SECONDS = f"CAST(CAST({_RIDE} AS INTERVAL SECOND) AS BIGINT)"
+# Spark orders NaN above every number, so this is false for NaN and infinity
+_FINITE = "trip_distance < double('Infinity')"
+
+TRIP_SUMS = {
+    "trips": "count(1)",
+    "passengers": "sum(passenger_count)",
+    "whole_miles": f"sum(if({_FINITE}, floor(trip_distance), NULL))",
+    "micro_miles": f"sum(if({_FINITE},"
+    " CAST(rint((trip_distance - floor(trip_distance)) * 1e6) AS BIGINT), NULL))",
+    "unbounded_distances": f"count_if(NOT {_FINITE})",
+    "ride_seconds": f"sum({_RIDE_SECONDS})",
+    "ride_remainder": f"sum({_RIDE} - INTERVAL '1' SECOND * {_RIDE_SECONDS})",
+    "revenue_cents": f"sum({cents('total_amount')})",
+    "tip_cents": f"sum({cents('tip_amount')})",
+    "tips": "count(tip_amount)",
+}
+
+# DECIMAL has no NaN or infinity: a group with such a distance has no total
+_MILES = (
+    "if(unbounded_distances = 0, CAST(CAST(whole_miles AS DECIMAL(18,0))"
+    " + CAST(micro_miles AS DECIMAL(20,0)) * 0.000001BD AS DECIMAL(24,6)), NULL)"
+)
+_SECONDS = (
+    "(CAST(ride_seconds AS DECIMAL(18,0))"
+    " + CAST(CAST(ride_remainder AS INTERVAL SECOND) AS DECIMAL(18,6)))"
+)
+_REVENUE, _TIPS = from_cents("revenue_cents"), from_cents("tip_cents")
+
+MEASURES = {
+    "total_trips": "trips",
+    "total_passengers": "passengers",
+    "total_distance_miles": rounded(_MILES, 2),
+    "avg_distance_miles": ratio(_MILES, "trips", 2),
+    "avg_duration_minutes": ratio(_SECONDS, "trips * 60", 1),
+    "total_revenue": rounded(_REVENUE, 2),
+    "avg_fare": ratio(_REVENUE, "trips", 2),
+    "total_tips": rounded(_TIPS, 2),
+    "avg_tip": ratio(_TIPS, "tips", 2),
+    "tip_pct_of_revenue": ratio("CAST(tip_cents AS DECIMAL(18,0)) * 100", "revenue_cents", 2),
+}
+
+
+def _named(columns: dict[str, str]) -> list[str]:
+    return [f"{expression} AS {name}" for name, expression in columns.items()]
+
+
+def _trip_sums() -> list[Column]:
+    return [F.expr(column) for column in _named(TRIP_SUMS)]
 
 
 def daily_mart(staged: DataFrame) -> DataFrame:
     """One row per pickup date."""
-    columns = {"trip_date": F.col("trip_date"), **_measures()}
+    columns = {"trip_date": "trip_date", **MEASURES}
     return (
         staged.groupBy(F.to_date("pickup_at").alias("trip_date"))
-        .agg(*_agg(_trip_sums()))
-        .select(*_agg({name: columns[name] for name in DAILY.names}))
+        .agg(*_trip_sums())
+        .selectExpr(_named({name: columns[name] for name in DAILY.names}))
     )
 
 
 def _commonest(value: str, count: str) -> Column:
     """(-count, value) of the commonest value, the smallest of tied ones; NULLs do not count."""
-    entry = F.struct((-F.col(count)).alias("minus_count"), F.col(value).alias("value"))
-    return F.min(F.when(F.col(value).isNotNull(), entry))
+    return F.expr(
+        f"min(if({value} IS NULL, NULL, struct(-{count} AS minus_count, {value} AS value))) AS best"
+    )
 
 
 def zone_mart(staged: DataFrame) -> DataFrame:
@@ -90,21 +90,20 @@ def zone_mart(staged: DataFrame) -> DataFrame:
     value map: its counts are ordinary sums, and the second step reads only one row
     per pair.
     """
-    sums = _trip_sums()
     columns = {
-        "pickup_zone_id": F.col("pu_location_id"),
-        "most_common_dropoff_zone": F.col("most_common_dropoff_zone"),
-        **_measures(),
+        "pickup_zone_id": "pu_location_id",
+        "most_common_dropoff_zone": "best.value",
+        **MEASURES,
     }
     return (
         staged.groupBy("pu_location_id", "do_location_id")
-        .agg(*_agg(sums))
+        .agg(*_trip_sums())
         .groupBy("pu_location_id")
         .agg(
-            _commonest("do_location_id", "trips")["value"].alias("most_common_dropoff_zone"),
-            *[F.sum(name).alias(name) for name in sums],
+            _commonest("do_location_id", "trips"),
+            *[F.expr(f"sum({name}) AS {name}") for name in TRIP_SUMS],
         )
-        .select(*_agg({name: columns[name] for name in ZONE.names}))
+        .selectExpr(_named({name: columns[name] for name in ZONE.names}))
     )
 
 
@@ -112,18 +111,17 @@ def mode_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
     """Most frequent ``value`` of each ``key`` and how often it occurs."""
     return (
         df.groupBy(key, value)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.expr("count(1) AS n"))
         .groupBy(key)
-        .agg(_commonest(value, "n").alias("best"))
-        .select(key, F.col("best.value").alias(value), (-F.col("best.minus_count")).alias("occurrences"))
+        .agg(_commonest(value, "n"))
+        .selectExpr(key, f"best.value AS {value}", "-best.minus_count AS occurrences")
     )
 
 
 def file_summary(raw: DataFrame) -> DataFrame:
     """Rows and pickup range of every loaded file."""
-    pickup = F.col("tpep_pickup_datetime")
     return raw.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min(pickup).alias("first_pickup"),
-        F.max(pickup).alias("last_pickup"),
+        F.expr("count(1) AS rows"),
+        F.expr("min(tpep_pickup_datetime) AS first_pickup"),
+        F.expr("max(tpep_pickup_datetime) AS last_pickup"),
     )

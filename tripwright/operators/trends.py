@@ -6,32 +6,23 @@ at most one row per calendar date, so it does not grow with the number of trips.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripwright.functions.exact import ratio
-from tripwright.functions.months import day_of_week
 from tripwright.schemas import DEMAND_THRESHOLD_PCT, TRENDS
 
-
-def _week(calendar: bool) -> tuple[WindowSpec, WindowSpec]:
-    """The 7-row frame ending at a day, and the window that reaches 7 rows back.
-
-    With ``calendar`` both count days instead of rows, which differs where dates are
-    missing.
-    """
-    if calendar:
-        by_day = Window.orderBy(F.datediff("trip_date", F.lit("1970-01-01").cast("date")))
-        return by_day.rangeBetween(-6, 0), by_day.rangeBetween(-7, -7)
-    by_date = Window.orderBy("trip_date")
-    return by_date.rowsBetween(-6, 0), by_date
+_BY_DATE = "ORDER BY trip_date"
+_BY_DAY = "ORDER BY datediff(trip_date, DATE'1970-01-01')"
 
 
 def _averages(calendar: bool) -> dict[str, Column]:
-    week, _ = _week(calendar)
+    week = f"({_BY_DATE} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
+    if calendar:
+        week = f"({_BY_DAY} RANGE BETWEEN 6 PRECEDING AND CURRENT ROW)"
 
     def mean(name: str, digits: int) -> Column:
-        return ratio(F.sum(name).over(week), F.count(name).over(week), digits)
+        return F.expr(ratio(f"sum({name}) OVER {week}", f"count({name}) OVER {week}", digits))
 
     return {
         "trips_7d_moving_avg": mean("total_trips", 1),
@@ -40,10 +31,10 @@ def _averages(calendar: bool) -> dict[str, Column]:
 
 
 def _week_earlier(calendar: bool) -> dict[str, Column]:
-    _, week_ago = _week(calendar)
-
     def earlier(name: str) -> Column:
-        return (F.max(name) if calendar else F.lag(name, 7)).over(week_ago)
+        if calendar:
+            return F.expr(f"max({name}) OVER ({_BY_DAY} RANGE BETWEEN 7 PRECEDING AND 7 PRECEDING)")
+        return F.expr(f"lag({name}, 7) OVER ({_BY_DATE})")
 
     return {
         "trips_same_day_last_week": earlier("total_trips"),
@@ -52,10 +43,13 @@ def _week_earlier(calendar: bool) -> dict[str, Column]:
 
 
 def moving_averages(daily: DataFrame, calendar: bool = False) -> DataFrame:
+    """Averages of the 7 rows ending at a day, or of the 7 days with ``calendar``;
+    the two differ where dates are missing."""
     return daily.withColumns(_averages(calendar))
 
 
 def last_week(daily: DataFrame, calendar: bool = False) -> DataFrame:
+    """Values of 7 rows, or with ``calendar`` 7 days, earlier."""
     return daily.withColumns(_week_earlier(calendar))
 
 
@@ -63,8 +57,8 @@ def growth(df: DataFrame) -> DataFrame:
     """Percent growth over the columns of ``last_week``; NULL without an earlier value."""
 
     def pct(now: str, before: str, units: int) -> Column:
-        change = (F.col(now) - F.col(before)) * units
-        return ratio(change.cast("decimal(20,0)") * 100, F.col(before) * units, 2)
+        change = f"CAST(({now} - {before}) * {units} AS DECIMAL(20,0)) * 100"
+        return F.expr(ratio(change, f"{before} * {units}", 2))
 
     return df.withColumns(
         {
@@ -75,35 +69,31 @@ def growth(df: DataFrame) -> DataFrame:
 
 
 def rank_in_month(daily: DataFrame) -> DataFrame:
-    best_first = Window.partitionBy(F.trunc("trip_date", "month")).orderBy(
-        F.desc_nulls_first("total_revenue")
+    return daily.withColumn(
+        "revenue_rank_in_month",
+        F.expr(
+            "rank() OVER (PARTITION BY trunc(trip_date, 'month')"
+            " ORDER BY total_revenue DESC NULLS FIRST)"
+        ),
     )
-    return daily.withColumn("revenue_rank_in_month", F.rank().over(best_first))
 
 
-def demand_trend(growth_pct: Column) -> Column:
-    limit = DEMAND_THRESHOLD_PCT
-    return (
-        F.when(growth_pct > limit, "growing")
-        .when(growth_pct < -limit, "declining")
-        .when(growth_pct.isNull(), "insufficient_data")
-        .otherwise("stable")
-    )
+_DEMAND = f"""
+    CASE WHEN trips_wow_growth_pct > {DEMAND_THRESHOLD_PCT} THEN 'growing'
+         WHEN trips_wow_growth_pct < -{DEMAND_THRESHOLD_PCT} THEN 'declining'
+         WHEN trips_wow_growth_pct IS NULL THEN 'insufficient_data'
+         ELSE 'stable' END
+"""
 
 
 def revenue_trends(daily: DataFrame, calendar: bool = False) -> DataFrame:
     """The trends mart. Growth is derived from lag columns computed once."""
     kept = [name for name in TRENDS.names if name in daily.columns]
+    computed = {"day_of_week": "dayofweek(trip_date) - 1", "demand_trend": _DEMAND}
     return (
         daily.select(kept)
         .withColumns({**_averages(calendar), **_week_earlier(calendar)})
         .transform(growth)
         .transform(rank_in_month)
-        .withColumns(
-            {
-                "day_of_week": day_of_week(F.col("trip_date")),
-                "demand_trend": demand_trend(F.col("trips_wow_growth_pct")),
-            }
-        )
-        .select(TRENDS.names)
+        .selectExpr([f"{computed.get(name, name)} AS {name}" for name in TRENDS.names])
     )

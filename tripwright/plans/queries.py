@@ -106,7 +106,7 @@ def trip_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily(spark, sf_dir).agg(
         F.max("trip_date").alias("newest_date"),
         F.sum("total_trips").alias("total_trips"),
-        ratio(F.sum("total_revenue"), F.sum("total_trips"), 2).alias("avg_fare"),
+        F.expr(ratio("sum(total_revenue)", "sum(total_trips)", 2)).alias("avg_fare"),
     )
 
 
