@@ -184,3 +184,21 @@ def test_audit_report_shows_the_latest_run_first(spark, store, landing):
     report = audit_report(read_audit(spark, store))
     assert report.columns == ["month", "status", "rows_loaded", "duration_secs", "started_at"]
     assert [row.month for row in report.collect()] == ["2024-02", "2024-01"]
+
+
+def test_written_files_are_sorted_by_pickup(spark, store, landing):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rows = [
+        {**CAMEL_ROW, "tpep_pickup_datetime": f"2024-01-{1 + i * 7 % 28:02d} 08:00:00"} for i in range(28)
+    ]
+    frame(spark, *rows).coalesce(1).write.parquet(f"{landing}/yellow_tripdata_2024-01.parquet")
+    deliver(spark, landing, "2024-02", 3, 2, 1)
+    ingest.load_months(spark, store, landing, ["2024-01", "2024-02"])
+    files = glob.glob(f"{store.raw}/*/*.parquet")
+    assert len(files) == 2
+    for file in files:
+        pickups = pq.read_table(file, partitioning=None)["tpep_pickup_datetime"].to_pylist()
+        assert pickups == sorted(pickups)
