@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from frames import CAMEL_ROW, frame
 
-from tripwright.operators.normalize import normalize_columns, raw_rows_of
+from tripwright.operators.normalize import normalize_columns, raw_rows
 from tripwright.schemas import RAW
 
 SOURCE_NAMES = RAW.names[:19]
@@ -69,10 +69,10 @@ def test_loose_numbers(spark):
 
 def test_provenance(spark):
     delivered = frame(spark, CAMEL_ROW)
-    rows = raw_rows_of(delivered.schema, datetime(2024, 2, 1))(delivered, "some_file.parquet")
+    rows = raw_rows(delivered, "some_file.parquet", datetime(2024, 2, 1))
     assert rows.columns == RAW.names
     assert [f.dataType for f in rows.schema] == [f.dataType for f in RAW]
     row = rows.first()
     assert (row.source_file, row.loaded_at) == ("some_file.parquet", datetime(2024, 2, 1))
-    now = raw_rows_of(delivered.schema)(delivered, "f").first().loaded_at
+    now = raw_rows(delivered, "f").first().loaded_at
     assert abs((datetime.now(timezone.utc).replace(tzinfo=None) - now).total_seconds()) < 600

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tripwright.schemas import HEADER_TO_NAME, SOURCE_COLUMNS
@@ -23,46 +21,34 @@ def _names(schema: T.StructType) -> list[str]:
     return [name if name in expected else f"_extra_{i}" for i, name in enumerate(names)]
 
 
-def _as_type(column: Column, have: T.DataType, want: T.DataType) -> Column:
-    if isinstance(have, (T.FloatType, T.DoubleType)):
-        column = F.nanvl(column.cast("double"), F.lit(None).cast("double"))
-    if isinstance(want, T.IntegerType) and isinstance(
-        have, (T.FloatType, T.DoubleType, T.DecimalType)
-    ):
-        column = F.round(column)  # a bare cast would truncate
-    return column if have == want else column.cast(want)
+def _as_type(name: str, have: T.DataType, want: T.DataType) -> str:
+    fractional = isinstance(have, (T.FloatType, T.DoubleType))
+    value = f"nanvl(CAST({name} AS DOUBLE), CAST(NULL AS DOUBLE))" if fractional else name
+    if isinstance(want, T.IntegerType) and (fractional or isinstance(have, T.DecimalType)):
+        value = f"round({value})"  # a bare cast would truncate
+    return f"CAST({value} AS {want.simpleString()}) AS {name}"
 
 
-def _typed_columns(schema: T.StructType) -> list[Column]:
+def _typed_columns(schema: T.StructType) -> list[str]:
     have = dict(zip(_names(schema), (field.dataType for field in schema)))
     return [
-        (_as_type(F.col(name), have[name], want) if name in have else F.lit(None).cast(want)).alias(name)
+        _as_type(name, have[name], want)
+        if name in have
+        else f"CAST(NULL AS {want.simpleString()}) AS {name}"
         for _, name, want in SOURCE_COLUMNS
     ]
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
     """The 19 source columns in table order: absent ones NULL, unknown ones dropped."""
-    return df.toDF(*_names(df.schema)).select(_typed_columns(df.schema))
+    return df.toDF(*_names(df.schema)).selectExpr(_typed_columns(df.schema))
 
 
-def load_time(loaded_at: datetime | None = None) -> Column:
-    now = F.current_timestamp() if loaded_at is None else F.lit(loaded_at.isoformat(sep=" "))
-    return now.cast("timestamp_ntz")
-
-
-def raw_rows_of(
-    schema: T.StructType, loaded_at: datetime | None = None
-) -> Callable[[DataFrame, str], DataFrame]:
-    """How files of one schema become raw rows: (scan, file name) -> rows.
-
-    The columns are built once and reused for every file that shares the schema.
-    """
-    names, columns = _names(schema), _typed_columns(schema)
-    loaded = load_time(loaded_at).alias("loaded_at")
-
-    def rows(scan: DataFrame, source_file: str) -> DataFrame:
-        provenance = F.lit(source_file).alias("source_file")
-        return scan.toDF(*names).select(*columns, provenance, loaded)
-
-    return rows
+def raw_rows(scan: DataFrame, source_file: str, loaded_at: datetime | None = None) -> DataFrame:
+    """Normalized rows, the file they came from and the load time."""
+    now = "current_timestamp()" if loaded_at is None else f"TIMESTAMP_NTZ'{loaded_at}'"
+    return scan.toDF(*_names(scan.schema)).selectExpr(
+        *_typed_columns(scan.schema),
+        f"'{source_file}' AS source_file",
+        f"CAST({now} AS TIMESTAMP_NTZ) AS loaded_at",
+    )

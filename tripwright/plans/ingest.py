@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -12,8 +13,8 @@ from pyspark.sql import functions as F
 
 from tripwright.functions.months import month_start, month_to_filename, months_due, next_month
 from tripwright.schemas import SOURCE_NAME
-from tripwright.operators.normalize import raw_rows_of
-from tripwright.sources.landing import scan_months
+from tripwright.operators.normalize import raw_rows
+from tripwright.sources.landing import scan_month
 from tripwright.sources.tables import (
     Store,
     append_audit,
@@ -46,17 +47,16 @@ def _replace_months(
     out where it came from. The counts are observed in the job's only stage, where a
     retried task counts once.
     """
-    seen = {month_to_filename(month): Observation() for month in months}
-    scans = scan_months(spark, landing, months)
-    schemas = {scan.schema.json(): scan.schema for scan in scans}
-    raw_rows = {key: raw_rows_of(schema, loaded_at) for key, schema in schemas.items()}
-    rows = F.count(F.lit(1)).alias("rows")
-    legs = [
-        raw_rows[scan.schema.json()](scan, file).observe(count, rows)
-        for scan, (file, count) in zip(scans, seen.items())
-    ]
+    seen = {month: Observation() for month in months}
+
+    def leg(month: str) -> DataFrame:
+        rows = raw_rows(scan_month(spark, landing, month), month_to_filename(month), loaded_at)
+        return rows.observe(seen[month], F.count(F.lit(1)).alias("rows"))
+
+    with ThreadPoolExecutor(8) as pool:  # each reads one footer and analyzes one projection
+        legs = list(pool.map(leg, months))
     replace_files(reduce(DataFrame.unionAll, legs), store.raw)
-    counts = {file: count.get.get("rows", 0) for file, count in seen.items()}
+    counts = {month_to_filename(m): count.get.get("rows", 0) for m, count in seen.items()}
     for file in [file for file, rows in counts.items() if rows == 0]:
         clear_file(spark, store.raw, file)
     return counts

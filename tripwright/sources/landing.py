@@ -6,9 +6,6 @@ A month is a file ``yellow_tripdata_<yyyy-MM>.parquet``, a folder of that name,
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,16 +17,10 @@ def month_path(landing: str, month: str) -> str:
 
 
 def scan_month(spark: SparkSession, landing: str, month: str) -> DataFrame:
-    """The rows of one month as delivered."""
+    """The rows of one month as delivered, by its own schema: headers and types drift."""
     return spark.read.parquet(month_path(landing, month))
 
 
-def scan_months(spark: SparkSession, landing: str, months: Sequence[str]) -> list[DataFrame]:
-    """One scan per month, each by its own schema: headers and types drift over time."""
-    with ThreadPoolExecutor(8) as pool:  # a scan reads a footer to learn its schema
-        return list(pool.map(lambda month: scan_month(spark, landing, month), months))
-
-
 def write_landing(rows: DataFrame, landing: str) -> None:
     """Deliver raw-shaped rows as one folder per ``source_file``.
 
