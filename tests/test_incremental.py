@@ -100,6 +100,9 @@ def test_merge_by_key(spark):
     assert counts(merge_by_key(old, new, "trip_date")) == {
         "2024-01-01": 1, "2024-01-02": 9, "2024-01-03": 3,
     }
+    unknown = old.withColumn("trip_date", F.lit(None).cast("date")).limit(1)
+    assert merge_by_key(old.union(unknown), unknown, "trip_date").count() == 4
+    assert merge_by_key(old.union(old), new, "trip_date").count() == 4  # 2 + 2 replaced by new ones
     with pytest.raises(SchemaChanged):
         merge_by_key(old, new.withColumn("total_trips", F.col("total_trips").cast("int")), "trip_date")
     with pytest.raises(SchemaChanged):

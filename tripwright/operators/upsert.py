@@ -33,9 +33,21 @@ def guard_schema(table: DataFrame, rows: DataFrame) -> None:
 
 
 def merge_by_key(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """``existing`` with the rows of ``new`` in place of those with the same key."""
+    """``existing`` with the rows of ``new`` in place of those with the same key.
+
+    Marking the rows and comparing within a key computes ``new`` once, where an
+    anti-join against its keys would compute it a second time. A NULL key matches none.
+    """
     guard_schema(existing, new)
-    return existing.join(new.select(key), key, "left_anti").unionByName(new)
+    marked = existing.withColumn("_new", F.lit(False)).unionByName(
+        new.withColumn("_new", F.lit(True))
+    )
+    replaced = F.expr(f"max(_new) OVER (PARTITION BY {key})")
+    return (
+        marked.withColumn("_replaced", replaced)
+        .where(f"_new OR NOT _replaced OR {key} IS NULL")
+        .select(existing.columns)
+    )
 
 
 def lookback_start(newest: date) -> date:
