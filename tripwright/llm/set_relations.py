@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwright.llm.common import Bloom, big_enough, fresh, ragged, signed, stored
@@ -244,7 +244,7 @@ def _index(nodes: DataFrame, shared: DataFrame) -> DataFrame:
     return stored(entries.join(lists.select("token"), "token", "left_semi"), "set-lists")
 
 
-def _possible(a: str, b: str):
+def _possible(a: str, b: str) -> Column:
     """Whether two entries of one list can be of linked sets: sizes, own shingles, positions."""
     n, m, p, q, s, t = (F.col(f"{x}.{c}") for c in ("n", "pos", "own") for x in (a, b))
     most = F.least(

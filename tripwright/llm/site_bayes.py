@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripwright.llm.common import fresh, signed, stored
-from tripwright.llm.words import UNSPACED, ALPHANUMERIC, text_bytes, words
+from tripwright.llm.words import ALPHANUMERIC, UNSPACED, text_bytes, words
 
 #: Bounds of the training sample and of the lexicon.
 SAMPLE_ROWS, LEXICON_WORDS = 20_000, 20_000

@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -149,24 +149,25 @@ def write_records(
     tokenizer: str,
     end_id: int = 0,
     shard_chars: int = 32_000_000,
-    order: str = "doc_id",
+    order: Sequence[str] = ("doc_id",),
 ) -> None:
     """Encode every text and write ``path/records`` and ``path/index``.
 
-    ``order`` names a column to write in ascending order of instead of doc_id. The one shuffle
-    deals texts by range of it; about ``shard_chars`` characters make a file.
+    ``order`` names the columns to write in ascending order of, doc_id if not given. The one
+    shuffle deals texts by range of them; about ``shard_chars`` characters make a file.
     """
     spark = docs.sparkSession
     total = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)), F.count(F.lit(1))).first()
+    keys = [f"order{i}" for i in range(len(order))]
     keyed = docs.select(
-        F.col(order).alias("_order"),
-        F.xxhash64("text").alias("_tie"),
+        *[F.col(f"`{c}`").alias(k) for c, k in zip(order, keys, strict=True)],
+        F.xxhash64("text").alias("tie"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
     dealt = keyed.repartitionByRange(
-        big_enough(total[0] + 16 * total[1], shard_chars), "_order", "_tie"
-    ).sortWithinPartitions("_order", "_tie")
+        big_enough(total[0] + 16 * total[1], shard_chars), *keys, "tie"
+    ).sortWithinPartitions(*keys, "tie")
 
     def encode(batches):
         encoder = _encoder(tokenizer)
@@ -222,7 +223,8 @@ def _index(spark: SparkSession, path: str) -> DataFrame:
     )
     rows = _files(spark, path).mapInArrow(walk, schema)
     shard = F.regexp_extract("file", r"^part-(\d+)", 1).cast("int")
-    part = F.coalesce(F.expr("try_cast(regexp_extract(file, '-c(\\\\d+)', 1) as int)"), F.lit(0))
+    piece = F.regexp_extract("file", r"-c(\d+)", 1)  # set where Spark cuts files by rows
+    part = F.when(piece == "", F.lit("0")).otherwise(piece).cast("int")
     rows = rows.withColumns({"shard": shard, "part": part})
     # One row a file: the only window without a key.
     totals = rows.groupBy("shard", "part").agg(F.sum("n_tokens").alias("tokens"))

@@ -89,8 +89,8 @@ def _windows(items: DataFrame) -> DataFrame:
 
 
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """For each row of ``docs``: doc_id, n_words, n_hit, n_items, items (sorted as strings),
-    contaminated at a share of one twentieth is left to the caller."""
+    """doc_id, key (of the text), n_words, n_hit, n_items and items (ids sorted as strings) of each
+    row of ``docs``."""
     windows = stored(_windows(items), "winnow-windows")
     long = Bloom.of(windows.where(F.col("size") == WINDOW).select("fingerprint"))
     short = Bloom.of(windows.where(F.col("size") < WINDOW).select("fingerprint"), 1 << 20)
