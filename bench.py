@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from tripwright.plans.queries import QUERIES
@@ -46,6 +47,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cores,
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

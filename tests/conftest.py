@@ -9,9 +9,14 @@ from tripwright.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = local_session(
-        8, **{"spark.sql.shuffle.partitions": "4", "spark.ui.showConsoleProgress": "false"}
+        8,
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

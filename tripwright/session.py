@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,11 +27,9 @@ def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, where every executor can reach it.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    A session without that setting needs ``setCheckpointDir``; nothing else is taken.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tripwright-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return f"{shared.rstrip('/')}/tripwright/{label}-{uuid.uuid4().hex}"
