@@ -43,7 +43,7 @@ FREQUENT, FREQUENT_COUNT = 1 << 16, 256
 #: A shingle is counted as possibly frequent where it comes this often in a slice.
 LOCAL_COUNT = 8
 #: Packed shingles that one task of the counting shuffle holds, about.
-BUCKET_SHINGLES = 1_000_000
+BUCKET_SHINGLES = 2_000_000
 _U = np.uint64
 
 
@@ -146,7 +146,7 @@ def _shared(texts: DataFrame, frequent: np.ndarray, buckets: int) -> DataFrame:
 
     def pack(batches):
         for batch in batches:
-            for w in words(batch["text"], UNSPACED, 8_000_000):
+            for w in words(batch["text"], UNSPACED, 2_000_000):
                 hashes, owner = distinct_shingles(w)
                 node = set_hash(hashes, owner, len(w.counts))
                 rare = _place(frequent, hashes) < 0

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _BASE_INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
