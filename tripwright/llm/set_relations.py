@@ -10,7 +10,7 @@ number of very frequent shingles, which are counted where they are frequent and
 
 *Skipping.* An index list is cut into blocks by size class, and only equal and neighbouring blocks can
 hold partners. Within those an entry is skipped when positions alone bound the overlap too low:
-common shingles are at most those before both positions, the entry's and those after.
+at the first shingle that two sets have in common, only what follows in both can be common too.
 
 *Answers from similar sets.* In each list the set with the fewest shingles of its own leads. Every
 member is compared with its leaders first; what is similar to the same leader is already connected,
@@ -220,8 +220,8 @@ def _index(nodes: DataFrame, shared: DataFrame) -> DataFrame:
     kinds = stored(kinds, "set-kinds")
     of_node = Window.partitionBy("node")
     prefix = F.expr(f"n - (n * {OVER} + {UNDER - 1}) div {UNDER} + 1")
-    rare = (
-        shared.join(kinds.drop("last"), "node")
+    ranked = (
+        shared.join(kinds.select("node", "n", "rare", (F.size("last") > 0).alias("late")), "node")
         .withColumns(
             {
                 "own": F.col("rare") - F.count(F.lit(1)).over(of_node),
@@ -229,15 +229,24 @@ def _index(nodes: DataFrame, shared: DataFrame) -> DataFrame:
             }
         )
         .withColumn("pos", F.col("own") + F.col("nth") - 1)
-        .where(F.col("pos") < prefix)
-        .select("token", "node", "n", "pos", "own")
+        .where((F.col("pos") < prefix) | ((F.col("nth") == 1) & F.col("late")))
+        .select("token", "node", "n", "pos", "own", "nth", "late")
     )
-    late = kinds.where(F.size("last") > 0).select(
-        F.posexplode("last").alias("nth", "token"), "node", "n", "rare"
-    )
-    # Frequent shingles are held by others; how many rare ones aren't is left open here.
-    late = late.select(
-        "token", "node", "n", (F.col("rare") + F.col("nth")).alias("pos"), F.lit(0).cast("long").alias("own")
+    ranked = stored(ranked, "set-ranked")
+    rare = ranked.where(F.col("pos") < prefix).select("token", "node", "n", "pos", "own")
+    # Other nodes hold the frequent shingles; a node without shared rare ones has only its own.
+    known = ranked.where((F.col("nth") == 1) & F.col("late")).select("node", "own")
+    late = (
+        kinds.where(F.size("last") > 0)
+        .join(known, "node", "left")
+        .select(
+            F.posexplode("last").alias("nth", "token"),
+            "node",
+            "n",
+            "rare",
+            F.coalesce("own", "rare").alias("own"),
+        )
+        .select("token", "node", "n", (F.col("rare") + F.col("nth")).alias("pos"), "own")
     )
     entries = stored(rare.unionByName(late), "set-index")
     lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
@@ -245,12 +254,12 @@ def _index(nodes: DataFrame, shared: DataFrame) -> DataFrame:
 
 
 def _possible(a: str, b: str) -> Column:
-    """Whether two entries of one list can be of linked sets: sizes, own shingles, positions."""
-    n, m, p, q, s, t = (F.col(f"{x}.{c}") for c in ("n", "pos", "own") for x in (a, b))
-    most = F.least(
-        F.least(n - s, m - t), F.least(p, q) + F.lit(1) + F.least(n - p - 1, m - q - 1)
-    )
-    return (UNDER + OVER) * most >= OVER * (n + m)
+    """Whether two entries of one list can be the first that linked sets have in common.
+
+    Then all before them differ, so positions bound the overlap, and with it sizes.
+    """
+    n, m, p, q = (F.col(f"{x}.{c}") for c in ("n", "pos") for x in (a, b))
+    return (UNDER + OVER) * F.least(n - p, m - q) >= OVER * (n + m)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
