@@ -266,7 +266,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that link, by the exact overlap of their sets."""
 
     def compare(batches):
-        for batch in batches:
+        for batch in (b.slice(k, 128) for b in batches for k in range(0, b.num_rows, 128)):
             keep = []
             for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True):
                 x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
