@@ -34,14 +34,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripwright.llm.common import big_enough
+from tripwright.llm.words import SLICE_BYTES, run_hashes, slices, text_bytes
 
 _MASK = 0xA282EAD8
 _HEAD = struct.Struct("<QI")
 _ID = struct.Struct("<qH")
 _CHECK = struct.Struct("<I")
 NULL_ID, WIDE = 1, 2
-#: Chunks kept by one Python worker with their ids.
-CACHE_CHUNKS = 300_000
+#: Parts of texts that one Python worker remembers the ids of, at about 40 bytes each.
+CACHE_PARTS = 2_500_000
+_BLANK = np.zeros(256, bool)
+_BLANK[[*range(9, 14), *range(28, 33)]] = True
 
 
 class CorruptRecord(ValueError):
@@ -85,11 +88,12 @@ def records(data: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
 
 
 class Encoder:
-    """Ids of whole texts through a tokenizer whose split begins a piece at a space in a line.
+    """Ids of whole texts through a byte-level tokenizer, with the parts seen lately remembered.
 
-    Byte-level vocabularies split before every single space between two characters that are not
-    white space, whatever stands around, so the parts between such spaces are encoded one by one
-    and remembered. A text with other white space beside a space is encoded whole.
+    Such a vocabulary begins a piece at every space between two characters that are not white
+    space, whatever stands around. Texts are cut there, equal parts of a slice are encoded
+    once, and the parts met before come from a store of fixed size. Parts are told apart by 64-bit
+    hashes. If the vocabulary isn't of that kind, nothing is cut.
     """
 
     def __init__(self, path: str):
@@ -97,38 +101,94 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
+        vocabulary = self.tokenizer.get_vocab()
+        self.wide = len(vocabulary) > 1 << 16
         self.dtype = "<u4" if self.wide else "<u2"
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in done]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split, wanted = [], set()
-        for text in texts:
-            chunks = text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
-            if any(map(self._open, chunks[:-1])) or any(map(self._loose, chunks[1:])):
-                chunks = [text]
-            split.append(chunks)
-            if len(chunks) > 1:
-                wanted.update(chunks)
-        if len(self.known) > CACHE_CHUNKS:
-            self.known.clear()
-        new = [x for x in wanted if x not in self.known]
-        self.known.update(zip(new, self._encode(new), strict=True))
-        whole = iter(self._encode([x[0] for x in split if len(x) == 1]))
-        find = self.known.__getitem__
-        return [b"".join(map(find, x)) if len(x) > 1 else next(whole) for x in split]
-
-    @staticmethod
-    def _open(chunk: str) -> bool:
-        return not chunk or chunk[-1].isspace()
-
-    @staticmethod
-    def _loose(chunk: str) -> bool:
-        return len(chunk) < 2 or chunk[1].isspace()
+        # Only the first token of a piece that begins with a space holds that space.
+        self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)
+        self.at = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, self.dtype)
+
+    def _encode(self, parts: list[str]) -> list[np.ndarray]:
+        done = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        return [np.array(x.ids, self.dtype) for x in done]
+
+    def _learn(self, hashes: np.ndarray, parts: list[str]) -> None:
+        """Remember parts that aren't known yet; hashes ascend."""
+        plain = [i for i, x in enumerate(parts) if x[:1] == " " and x.count(" ") == 1]
+        other = sorted(set(range(len(parts))).difference(plain))
+        found, counts = [self.ids], []
+        for low in range(0, len(plain), 4096):
+            some = [parts[i] for i in plain[low : low + 4096]]
+            (ids,) = self._encode(["".join(some)])
+            edges = np.flatnonzero(self.opens[ids])
+            if len(edges) != len(some):
+                pieces = self._encode(some)
+                ids, edges = np.concatenate(pieces), np.cumsum([0, *map(len, pieces[:-1])])
+            found.append(ids)
+            counts.append(np.diff(np.append(edges, len(ids))))
+        for ids in self._encode([parts[i] for i in other]):
+            found.append(ids)
+            counts.append(np.array([len(ids)]))
+        sizes, at = np.empty(len(parts), np.int64), np.empty(len(parts), np.int64)
+        order = np.array(plain + other)
+        sizes[order] = np.concatenate(counts)
+        at[order] = len(self.ids) + np.cumsum(sizes[order]) - sizes[order]
+        self.ids = np.concatenate(found)
+        place = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, place, hashes)
+        self.at, self.sizes = np.insert(self.at, place, at), np.insert(self.sizes, place, sizes)
+
+    def _cuts(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Places of spaces in a text whose neighbours aren't white space."""
+        if not self.opens.any():
+            return np.zeros(0, np.int64)
+        at = np.flatnonzero(data == 0x20)
+        edge = np.zeros(len(data) + 1, bool)
+        edge[bounds] = True
+        at = at[~edge[at] & ~edge[at + 1]]
+        before, after = data[at - 1], data[at + 1]
+        # Beyond ASCII, what may begin or end a white space character counts as one.
+        two = np.where(edge[at - 1], 0, data[np.maximum(at - 2, 0)])
+        three = data[np.maximum(at - 3, 0)]
+        wide = ((two == 0xC2) & ((before == 0x85) | (before == 0xA0))) | (
+            (before >= 0x80) & (three >= 0xE1) & (three <= 0xE3)
+        )
+        wide |= (after == 0xC2) | ((after >= 0xE1) & (after <= 0xE3))
+        return at[~(_BLANK[before] | _BLANK[after] | wide)]
+
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        raw, offsets = text_bytes(texts)
+        for low, high in slices(offsets, SLICE_BYTES):
+            data = raw[offsets[low] : offsets[high]]
+            bounds = offsets[low : high + 1] - offsets[low]
+            begins = np.union1d(bounds[:-1][np.diff(bounds) > 0], self._cuts(data, bounds))
+            ends = np.append(begins[1:], len(data))[: len(begins)]
+            keys, first, which = np.unique(
+                run_hashes(data, begins, ends), return_index=True, return_inverse=True
+            )
+            if len(self.hashes) > CACHE_PARTS:
+                self._forget()
+            place = np.minimum(np.searchsorted(self.hashes, keys), max(0, len(self.hashes) - 1))
+            new = self.hashes[place] != keys if len(self.hashes) else np.ones(len(keys), bool)
+            if new.any():
+                spans = zip(begins[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
+                self._learn(keys[new], [data[a:b].tobytes().decode() for a, b in spans])
+                place = np.searchsorted(self.hashes, keys)
+            sizes = self.sizes[place][which]
+            upto = np.concatenate([[0], np.cumsum(sizes)])
+            from_at = np.repeat(self.at[place][which] - upto[:-1], sizes)
+            ids = self.ids[from_at + np.arange(upto[-1])]
+            edges = upto[np.searchsorted(begins, bounds)].tolist()
+            for a, b in zip(edges, edges[1:], strict=False):
+                yield ids[a:b]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -173,12 +233,13 @@ def write_records(
         encoder = _encoder(tokenizer)
         end = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = encoder(part["text"].to_pylist())
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
                 framed = [
-                    frame(doc_id, x + end, encoder.wide)
-                    for doc_id, x in zip(part["doc_id"].to_pylist(), ids, strict=True)
+                    frame(doc_id, x.tobytes() + end, encoder.wide)
+                    for doc_id, x in zip(
+                        part["doc_id"].to_pylist(), encoder(part["text"]), strict=True
+                    )
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(framed, pa.binary())], ["record"])
 

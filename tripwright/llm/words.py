@@ -34,9 +34,9 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix(np.arange(1, 257, dtype=_U) * _BASE)
-_FOLDED = np.arange(256)
-_FOLDED[65:91] += 32
-_BYTE = _BYTE[_FOLDED]
+_FOLDS = np.arange(256)
+_FOLDS[65:91] += 32
+_FOLDED = _BYTE[_FOLDS]
 
 
 def _word_class(excluded: list[tuple[int, int]]) -> np.ndarray:
@@ -120,7 +120,7 @@ def shingles(words: Words, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return hashes[whole], np.concatenate([[0], np.cumsum(counts)])
 
 
-def _slices(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     at, n = 0, len(offsets) - 1
     while at < n:
         end = int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1
@@ -138,12 +138,24 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets
 
 
+def run_hashes(
+    data: np.ndarray, begins: np.ndarray, ends: np.ndarray, values: np.ndarray = _BYTE
+) -> np.ndarray:
+    """A hash of the bytes of each run, from ``values`` of the bytes."""
+    n = len(data)
+    up, down = _Powers.to(n + 1)
+    sums = np.zeros(n + 1, _U)
+    np.cumsum(values[data] * up[:n], dtype=_U, out=sums[1:])
+    hashes = (sums[ends] - sums[begins]) * down[begins]
+    return mix(hashes + (ends - begins).astype(_U) * _BASE)
+
+
 def words(texts: pa.Array, kind: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[Words]:
     """The word hashes of the texts, slice by slice in order."""
     if not len(texts):
         return
     raw, offsets = text_bytes(texts)
-    for low, high in _slices(offsets, limit):
+    for low, high in slices(offsets, limit):
         data = raw[offsets[low] : offsets[high]]
         bounds = offsets[low : high + 1] - offsets[low]
         n = len(data)
@@ -162,9 +174,5 @@ def words(texts: pa.Array, kind: np.ndarray, limit: int = SLICE_BYTES) -> Iterat
         after[:-1] = inside[1:]
         after[cuts[cuts > 0] - 1] = False
         ends = np.flatnonzero(inside & ~after) + 1
-        up, down = _Powers.to(n)
-        sums = np.zeros(n + 1, _U)
-        np.cumsum(_BYTE[data] * up[:n], dtype=_U, out=sums[1:])
-        hashes = (sums[ends] - sums[begins]) * down[begins]
-        hashes = mix(hashes + (ends - begins).astype(_U) * _BASE)
+        hashes = run_hashes(data, begins, ends, _FOLDED)
         yield Words(low, hashes, np.searchsorted(begins, bounds).astype(np.int64))
