@@ -42,9 +42,13 @@ _ID = struct.Struct("<qH")
 _CHECK = struct.Struct("<I")
 NULL_ID, WIDE = 1, 2
 #: Parts of texts that one Python worker remembers the ids of, at about 40 bytes each.
-CACHE_PARTS = 2_500_000
+CACHE_PARTS = 1_500_000
 _BLANK = np.zeros(256, bool)
 _BLANK[[*range(9, 14), *range(28, 33)]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[ord(c) for c in ".,;:!?"]] = True
 
 
 class CorruptRecord(ValueError):
@@ -90,10 +94,10 @@ def records(data: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
 class Encoder:
     """Ids of whole texts through a byte-level tokenizer, with the parts seen lately remembered.
 
-    Such a vocabulary begins a piece at every space between two characters that are not white
-    space, whatever stands around. Texts are cut there, equal parts of a slice are encoded
-    once, and the parts met before come from a store of fixed size. Parts are told apart by 64-bit
-    hashes. If the vocabulary isn't of that kind, nothing is cut.
+    Such a vocabulary begins a piece at some places whatever stands around them (``_cuts``). Texts
+    are cut there, equal parts of a slice are encoded once, and the parts met before come from a
+    store of fixed size. Parts are told apart by 64-bit hashes. If the vocabulary isn't of that
+    kind, nothing is cut.
     """
 
     def __init__(self, path: str):
@@ -146,12 +150,16 @@ class Encoder:
         self.at, self.sizes = np.insert(self.at, place, at), np.insert(self.sizes, place, sizes)
 
     def _cuts(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Places of spaces in a text whose neighbours aren't white space."""
+        """Places where a piece begins, whatever stands around.
+
+        These are a space, or a line feed and what follows it, between two characters that aren't
+        white space, and a mark that follows an ASCII letter.
+        """
         if not self.opens.any():
             return np.zeros(0, np.int64)
-        at = np.flatnonzero(data == 0x20)
         edge = np.zeros(len(data) + 1, bool)
         edge[bounds] = True
+        at = np.flatnonzero((data == 0x20) | (data == 0x0A))
         at = at[~edge[at] & ~edge[at + 1]]
         before, after = data[at - 1], data[at + 1]
         # Beyond ASCII, what may begin or end a white space character counts as one.
@@ -161,12 +169,16 @@ class Encoder:
             (before >= 0x80) & (three >= 0xE1) & (three <= 0xE3)
         )
         wide |= (after == 0xC2) | ((after >= 0xE1) & (after <= 0xE3))
-        return at[~(_BLANK[before] | _BLANK[after] | wide)]
+        at = at[~(_BLANK[before] | _BLANK[after] | wide)]
+        marks = np.flatnonzero(_MARK[data])
+        marks = marks[~edge[marks]]
+        marks = marks[_LETTER[data[marks - 1]]]
+        return np.concatenate([at, at[data[at] == 0x0A] + 1, marks])
 
     def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text."""
         raw, offsets = text_bytes(texts)
-        for low, high in slices(offsets, SLICE_BYTES):
+        for low, high in slices(offsets, SLICE_BYTES // 2):
             data = raw[offsets[low] : offsets[high]]
             bounds = offsets[low : high + 1] - offsets[low]
             begins = np.union1d(bounds[:-1][np.diff(bounds) > 0], self._cuts(data, bounds))
@@ -208,7 +220,7 @@ def write_records(
     path: str,
     tokenizer: str,
     end_id: int = 0,
-    shard_chars: int = 32_000_000,
+    shard_chars: int = 16_000_000,
     order: Sequence[str] = ("doc_id",),
 ) -> None:
     """Encode every text and write ``path/records`` and ``path/index``.
