@@ -181,7 +181,10 @@ class Encoder:
         for low, high in slices(offsets, SLICE_BYTES // 2):
             data = raw[offsets[low] : offsets[high]]
             bounds = offsets[low : high + 1] - offsets[low]
-            begins = np.union1d(bounds[:-1][np.diff(bounds) > 0], self._cuts(data, bounds))
+            opening = np.zeros(len(data) + 1, bool)
+            opening[bounds] = True
+            opening[self._cuts(data, bounds)] = True
+            begins = np.flatnonzero(opening[:-1])
             ends = np.append(begins[1:], len(data))[: len(begins)]
             keys, first, which = np.unique(
                 run_hashes(data, begins, ends), return_index=True, return_inverse=True
