@@ -114,8 +114,8 @@ def test_headers_types_and_layouts_may_differ(spark, store, landing):
     loaded = ingest.load_months(spark, store, landing, ["2024-01", "2024-02", "2024-03"])
     assert [entry["rows_loaded"] for entry in loaded] == [2, 1, 1]
     rows = read_raw(spark, store).collect()
-    assert {row.vendor_id for row in rows} == {1}
-    assert {row.passenger_count for row in rows} == {2}
+    assert {row.vendor_id for row in rows} == {2}
+    assert {row.passenger_count for row in rows} == {4}
     assert totals(spark, store, "2024-03") == [4]
 
 
@@ -127,7 +127,7 @@ def test_a_plain_file_is_a_month(spark, store, landing, tmp_path):
     table = pa.table({name: [value] for name, value in CAMEL_ROW.items()})
     pq.write_table(table, f"{landing}/yellow_tripdata_2024-01.parquet")
     assert ingest.load_month(spark, store, landing, "2024-01")["rows_loaded"] == 1
-    assert read_raw(spark, store).first().total_amount == Decimal("18.30")
+    assert read_raw(spark, store).first().total_amount == Decimal("39.44")
 
 
 def test_failure_is_audited_and_changes_nothing(spark, store, landing):
@@ -163,7 +163,7 @@ def test_load_next_walks_to_the_running_month(spark, store, landing):
     ]
     before = audits(spark, store)
     skipped = ingest.load_next(spark, store, landing, now=NOW)
-    assert skipped == {"skipped": True, "reason": "No new month to load"}
+    assert skipped == {"skipped": True, "reason": "nothing due"}
     assert ingest.catch_up(spark, store, landing, now=NOW) == []
     assert audits(spark, store) == before
 
@@ -202,3 +202,37 @@ def test_written_files_are_sorted_by_pickup(spark, store, landing):
     for file in files:
         pickups = pq.read_table(file, partitioning=None)["tpep_pickup_datetime"].to_pylist()
         assert pickups == sorted(pickups)
+
+
+def test_catch_up_waits_for_what_nobody_delivered(spark, store, landing):
+    deliver(spark, landing, "2024-01", 1)
+    deliver(spark, landing, "2024-02", 2)
+    assert [e["month"] for e in ingest.catch_up(spark, store, landing, now=NOW)] == [
+        "2024-01", "2024-02",
+    ]
+    assert {status for _, status, _ in audits(spark, store)} == {"success"}
+
+
+def test_catch_up_stops_at_a_gap_and_says_so(spark, store, landing):
+    deliver(spark, landing, "2024-01", 1)
+    deliver(spark, landing, "2024-03", 3)
+    with pytest.raises(FileNotFoundError, match="2024-02"):
+        ingest.catch_up(spark, store, landing, now=NOW)
+    assert totals(spark, store) == [1]
+    assert last_loaded_month(spark, store, SOURCE) == date(2024, 1, 1)
+    assert audits(spark, store) == [("2024-01", "success", 1), ("2024-02", "error", None)]
+
+
+def test_parts_of_a_month_may_have_different_headers(spark, store, landing, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = tmp_path / "landing" / "yellow_tripdata_2024-01.parquet"
+    folder.mkdir(parents=True)
+    renamed = {"VendorID": "vendor_id", "Airport_fee": "airport_fee"}
+    for i, names in enumerate(({}, renamed)):
+        table = pa.table({names.get(name, name): [value] for name, value in CAMEL_ROW.items()})
+        pq.write_table(table, folder / f"part-{i}.parquet")
+    assert ingest.load_month(spark, store, landing, "2024-01")["rows_loaded"] == 2
+    rows = read_raw(spark, store).collect()
+    assert [(r.vendor_id, r.airport_fee) for r in rows] == [(2, Decimal("1.75"))] * 2

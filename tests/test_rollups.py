@@ -92,6 +92,13 @@ def test_distance_without_a_value(spark):
     assert [row.total_trips for row in rows] == [2, 1, 1]
 
 
+def test_a_distance_that_cannot_be_one_aborts_nothing(spark):
+    trips = staged(spark, {"trip_distance": 1e19}, {"day": "2024-01-02", "trip_distance": 2.5})
+    assert [r.total_distance_miles for r in daily_mart(trips).orderBy("trip_date").collect()] == [
+        None, Decimal("2.50"),
+    ]
+
+
 def test_sums_do_not_depend_on_order(spark):
     rng = random.Random(3)
     miles = [rng.randint(0, 10**6) / 100 for _ in range(3000)]

@@ -45,8 +45,9 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 
 def raw_rows(scan: DataFrame, source_file: str, loaded_at: datetime | None = None) -> DataFrame:
-    """Normalized rows, the file they came from and the load time."""
-    now = "current_timestamp()" if loaded_at is None else f"TIMESTAMP_NTZ'{loaded_at}'"
+    """Normalized rows, the file they came from and the load time (UTC in any session zone)."""
+    utc = "to_utc_timestamp(current_timestamp(), current_timezone())"
+    now = utc if loaded_at is None else f"TIMESTAMP_NTZ'{loaded_at}'"
     return scan.toDF(*_names(scan.schema)).selectExpr(
         *_typed_columns(scan.schema),
         f"'{source_file}' AS source_file",

@@ -61,7 +61,9 @@ def violations(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         f"'column_name', '{check.column}', 'check_name', '{check.name}'), NULL)"
         for check in checks
     ]
-    return df.selectExpr(f"inline(array_compact(array({', '.join(failed)})))", *df.columns)
+    # Good rows are dropped by a plain filter, which reaches the scan.
+    bad = df.where(" OR ".join(f"({check.fails()})" for check in checks))
+    return bad.selectExpr(f"inline(array_compact(array({', '.join(failed)})))", *df.columns)
 
 
 def duplicates(df: DataFrame, key: str) -> DataFrame:

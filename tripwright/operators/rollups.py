@@ -3,7 +3,9 @@
 Both are ``groupBy().agg()`` over sums that combine before the shuffle, so a day
 or a zone holding a large share of all trips costs one partial row per task. The
 measures are whole-number sums (see ``functions.exact``); distances and durations
-are split into a whole part and a sub-unit part so neither can overflow.
+are split into a whole part and a sub-unit part so neither can overflow. A distance
+counts to the millionth of a mile; a group with one of 1e12 miles or more, NaN or
+infinity has no distance measures.
 """
 
 from __future__ import annotations
@@ -16,8 +18,9 @@ from tripwright.schemas import DAILY, ZONE
 
 _RIDE = "(dropoff_at - pickup_at)"
 _RIDE_SECONDS = f"CAST(CAST({_RIDE} AS INTERVAL SECOND) AS BIGINT)"
-# Spark orders NaN above every number, so this is false for NaN and infinity
-_FINITE = "trip_distance < double('Infinity')"
+# No trip is that long, and sums of shorter ones fit. Spark orders NaN above every number, so
+# this is false for NaN and infinity too.
+_FINITE = "trip_distance < 1e12D"
 
 TRIP_SUMS = {
     "trips": "count(1)",
@@ -33,7 +36,7 @@ TRIP_SUMS = {
     "tips": "count(tip_amount)",
 }
 
-# DECIMAL has no NaN or infinity: a group with such a distance has no total
+# a group with a distance that can't be one has no total
 _MILES = (
     "if(unbounded_distances = 0, CAST(CAST(whole_miles AS DECIMAL(18,0))"
     " + CAST(micro_miles AS DECIMAL(20,0)) * 0.000001BD AS DECIMAL(24,6)), NULL)"

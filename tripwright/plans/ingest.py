@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
+from itertools import takewhile
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tripwright.functions.months import month_start, month_to_filename, months_due, next_month
 from tripwright.schemas import SOURCE_NAME
 from tripwright.operators.normalize import raw_rows
-from tripwright.sources.landing import scan_month
+from tripwright.sources.landing import delivered, scan_month
 from tripwright.sources.tables import (
     Store,
     append_audit,
@@ -50,7 +51,9 @@ def _replace_months(
     seen = {month: Observation() for month in months}
 
     def leg(month: str) -> DataFrame:
-        rows = raw_rows(scan_month(spark, landing, month), month_to_filename(month), loaded_at)
+        file = month_to_filename(month)
+        parts = [raw_rows(part, file, loaded_at) for part in scan_month(spark, landing, month)]
+        rows = reduce(DataFrame.unionAll, parts)
         return rows.observe(seen[month], F.count(F.lit(1)).alias("rows"))
 
     with ThreadPoolExecutor(8) as pool:  # each reads one footer and analyzes one projection
@@ -120,7 +123,7 @@ def load_next(
     """Load the month after the watermark, if it is due by ``now``."""
     month = next_month(last_loaded_month(spark, store, source), now or utc_now())
     if month is None:
-        return {"skipped": True, "reason": "No new month to load"}
+        return {"skipped": True, "reason": "nothing due"}
     return load_month(spark, store, landing, month, source=source, **options)
 
 
@@ -132,6 +135,23 @@ def catch_up(
     now: datetime | None = None,
     **options,
 ) -> list[dict]:
-    """Load every month due since the watermark in one job."""
+    """Load the months due since the watermark that are delivered, up to the first gap, in one job.
+
+    Months that nobody delivered yet are waited for. A missing month that later ones follow is an
+    error: it gets an audit row, and is raised after the months before it are in.
+    """
     due = months_due(last_loaded_month(spark, store, source), now or utc_now())
-    return load_months(spark, store, landing, due, source=source, **options)
+    there = delivered(spark, landing, due)
+    ready = list(takewhile(there.__contains__, due))
+    loaded = load_months(spark, store, landing, ready, source=source, **options)
+    if len(ready) < len(there):
+        gap = due[len(ready)]
+        error = FileNotFoundError(f"{gap} is missing, {max(there)} is delivered")
+        clock = options.get("clock", utc_now)
+        at = clock()
+        row = audit_row(
+            source, gap, month_to_filename(gap), "error", at, at, None, str(error)
+        )
+        append_audit(spark, store, [row])
+        raise error
+    return loaded

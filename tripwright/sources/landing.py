@@ -6,6 +6,9 @@ A month is a file ``yellow_tripdata_<yyyy-MM>.parquet``, a folder of that name,
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +19,34 @@ def month_path(landing: str, month: str) -> str:
     return f"{landing.rstrip('/')}/{{source_file=,}}{month_to_filename(month)}"
 
 
-def scan_month(spark: SparkSession, landing: str, month: str) -> DataFrame:
-    """The rows of one month as delivered, by its own schema: headers and types drift."""
-    return spark.read.parquet(month_path(landing, month))
+def scan_month(spark: SparkSession, landing: str, month: str) -> list[DataFrame]:
+    """The rows of one month as delivered, one frame for each schema its files have.
+
+    Headers and types drift between the parts of a month too, and a scan under the schema of one
+    part would read the others' columns as NULL.
+    """
+    whole = spark.read.parquet(month_path(landing, month))
+    files = whole.inputFiles()
+    if len(files) < 2:
+        return [whole]
+    with ThreadPoolExecutor(8) as pool:  # a footer each
+        schemas = list(pool.map(lambda file: spark.read.parquet(file).schema, files))
+    groups: dict[str, list[str]] = {}
+    for file, schema in zip(files, schemas):
+        groups.setdefault(schema.json(), []).append(file)
+    if len(groups) == 1:
+        return [whole]
+    return [spark.read.parquet(*group) for group in groups.values()]
+
+
+def delivered(spark: SparkSession, landing: str, months: Sequence[str]) -> set[str]:
+    """Which of the months the landing folder has, from one listing."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(landing)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return set()
+    names = {entry.getPath().getName().removeprefix("source_file=") for entry in system.listStatus(folder)}
+    return {month for month in months if month_to_filename(month) in names}
 
 
 def write_landing(rows: DataFrame, landing: str) -> None:
