@@ -223,7 +223,7 @@ def write_records(
     path: str,
     tokenizer: str,
     end_id: int = 0,
-    shard_chars: int = 16_000_000,
+    shard_chars: int = 8_000_000,
     order: Sequence[str] = ("doc_id",),
 ) -> None:
     """Encode every text and write ``path/records`` and ``path/index``.
@@ -279,6 +279,8 @@ def _index(spark: SparkSession, path: str) -> DataFrame:
     """Read every record back, check it, and say where it lies."""
 
     def walk(batches):
+        _ENCODERS.clear()  # workers are reused, and reading needs no tokenizer
+        pa.default_memory_pool().release_unused()
         for batch in batches:
             for at in range(batch.num_rows):
                 name = batch["file"][at].as_py()
