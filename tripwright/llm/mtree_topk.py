@@ -205,7 +205,10 @@ def top_k(
     )
     norms = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
     squared = norms + F.lit(most) - 2 * F.col("kth")
-    bound = F.coalesce(F.sqrt(F.greatest(squared.cast("double"), F.lit(0.0))), F.lit(float("inf")))
+    # A home with fewer than k vectors bounds nothing.
+    bound = F.when(F.col("kth").isNull(), F.lit(float("inf"))).otherwise(
+        F.sqrt(F.greatest(squared.cast("double"), F.lit(0.0)))
+    )
     slack = 1e-9 * float(max(most, 1)) ** 0.5 + 1e-6
     pivot, dist = fresh((), "pivot", "dist")
     rest = (
