@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import ctypes
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,26 @@ def big_enough(total: int, unit: int) -> int:
     return max(1, -(-int(total) // unit))
 
 
+def give_back() -> None:
+    """Return freed memory to the system.
+
+    Python workers live on between tasks, and several share an executor's memory with the JVM:
+    what their allocators keep for later is lost to the others.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def lean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, with freed memory given back around each."""
+    give_back()
+    for batch in batches:
+        yield batch
+        give_back()
+
+
 class Bloom:
     """A filter of fixed size: it never misses a member, and lets a few others through.
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import Bloom, big_enough, fresh, ragged, signed, stored
+from tripwright.llm.common import Bloom, big_enough, fresh, lean, ragged, signed, stored
 from tripwright.llm.components import components
 from tripwright.llm.words import UNSPACED, Words, mix, shingles, words
 
@@ -74,7 +74,7 @@ def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The very frequent shingles, ascending, and the place of each in the order of shingles."""
 
     def count(batches):
-        for batch in batches:
+        for batch in lean(batches):
             for w in words(batch["text"], UNSPACED):
                 values, n = np.unique(shingles(w)[0], return_counts=True)
                 often = n >= LOCAL_COUNT
@@ -111,7 +111,7 @@ def _nodes(docs: DataFrame, frequent: np.ndarray, rank: np.ndarray) -> DataFrame
     frequent shingles in the prefix."""
 
     def describe(batches):
-        for batch in batches:
+        for batch in lean(batches):
             for w in words(batch["text"], UNSPACED):
                 hashes, owner = distinct_shingles(w)
                 n = len(w.counts)
@@ -145,7 +145,7 @@ def _shared(texts: DataFrame, frequent: np.ndarray, buckets: int) -> DataFrame:
     """node, token and count (of nodes) of every rare shingle that two nodes hold or more."""
 
     def pack(batches):
-        for batch in batches:
+        for batch in lean(batches):
             for w in words(batch["text"], UNSPACED, 2_000_000):
                 hashes, owner = distinct_shingles(w)
                 node = set_hash(hashes, owner, len(w.counts))
@@ -266,7 +266,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that link, by the exact overlap of their sets."""
 
     def compare(batches):
-        for batch in (b.slice(k, 128) for b in batches for k in range(0, b.num_rows, 128)):
+        for batch in (b.slice(k, 128) for b in lean(batches) for k in range(0, b.num_rows, 128)):
             keep = []
             for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True):
                 x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
@@ -290,7 +290,7 @@ def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
     near = Bloom.of(active)
 
     def pack(batches):
-        for batch in batches:
+        for batch in lean(batches):
             for w in words(batch["text"], UNSPACED):
                 hashes, owner = distinct_shingles(w)
                 node = set_hash(hashes, owner, len(w.counts))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import fresh, signed, stored
+from tripwright.llm.common import fresh, give_back, lean, signed, stored
 from tripwright.llm.words import ALPHANUMERIC, UNSPACED, text_bytes, words
 
 #: Bounds of the training sample and of the lexicon.
@@ -202,7 +202,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     )
 
     def present(batches):
-        for batch in batches:
+        for batch in lean(batches):
             flags = batch["bad"].to_numpy(), batch["half"].to_numpy()
             for w in words(batch["text"], ALPHANUMERIC):
                 order = np.lexsort((w.hashes, w.owner))
@@ -240,7 +240,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     first = _lexicon(counts.where("half = 0"), sizes.get((0, 1), 0), sizes.get((0, 0), 0))
 
     def featured(batches):
-        for batch in batches:
+        for batch in lean(batches):
             x = np.hstack([shape(batch["text"]), first.features(batch["text"])])
             rows = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(x) + 1, dtype=np.int32) * FEATURES), pa.array(x.ravel())
@@ -333,7 +333,9 @@ def judge(
 
     @F.arrow_udf("double")
     def evidence(texts: pa.Array) -> pa.Array:
-        return pa.array(model(texts))
+        found = pa.array(model(texts))
+        give_back()
+        return found
 
     judged = docs.withColumns(
         {

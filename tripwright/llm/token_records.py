@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import big_enough
+from tripwright.llm.common import big_enough, lean
 from tripwright.llm.words import SLICE_BYTES, run_hashes, slices, text_bytes
 
 _MASK = 0xA282EAD8
@@ -247,7 +247,7 @@ def write_records(
     def encode(batches):
         encoder = _encoder(tokenizer)
         end = np.array([end_id], encoder.dtype).tobytes()
-        for batch in batches:
+        for batch in lean(batches):
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 framed = [
@@ -280,8 +280,7 @@ def _index(spark: SparkSession, path: str) -> DataFrame:
 
     def walk(batches):
         _ENCODERS.clear()  # workers are reused, and reading needs no tokenizer
-        pa.default_memory_pool().release_unused()
-        for batch in batches:
+        for batch in lean(batches):
             for at in range(batch.num_rows):
                 name = batch["file"][at].as_py()
                 rows, before = [], 0
@@ -330,7 +329,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, ids, file and offset of every record, checked."""
 
     def walk(batches):
-        for batch in batches:
+        for batch in lean(batches):
             for at in range(batch.num_rows):
                 name = batch["file"][at].as_py()
                 for offset, _, doc_id, ids in records(batch["content"][at].as_buffer()):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import Bloom, fresh, ragged, signed, stored
+from tripwright.llm.common import Bloom, fresh, lean, ragged, signed, stored
 from tripwright.llm.words import ALPHANUMERIC, mix, ngrams, words
 
 WINDOW, GRAM = 13, 8
@@ -62,7 +62,7 @@ def _windows(items: DataFrame) -> DataFrame:
     """size, first, second, fingerprints and item_id of every distinct window of every item."""
 
     def cut(batches):
-        for batch in batches:
+        for batch in lean(batches):
             ids = batch["item_id"].to_numpy(zero_copy_only=False)
             for w in words(batch["text"], ALPHANUMERIC):
                 own = ids[w.first : w.first + len(w.counts)]
@@ -97,7 +97,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     sizes = [r.size for r in windows.where(F.col("size") < WINDOW).select("size").distinct().collect()]
 
     def scan(batches):
-        for batch in batches:
+        for batch in lean(batches):
             for w in words(batch["text"], ALPHANUMERIC):
                 grams, _ = ngrams(w.hashes, w.starts, GRAM)
                 seeds = np.flatnonzero(_selected(w.hashes, w.starts))
