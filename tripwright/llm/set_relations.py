@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,7 +147,7 @@ def _shared(texts: DataFrame, frequent: np.ndarray, buckets: int) -> DataFrame:
 
     def pack(batches):
         for batch in lean(batches):
-            for w in words(batch["text"], UNSPACED, 2_000_000):
+            for w in words(batch["text"], UNSPACED):
                 hashes, owner = distinct_shingles(w)
                 node = set_hash(hashes, owner, len(w.counts))
                 rare = _place(frequent, hashes) < 0
@@ -175,16 +176,18 @@ def _shared(texts: DataFrame, frequent: np.ndarray, buckets: int) -> DataFrame:
                     )
 
     def count(table: pa.Table) -> pa.Table:
-        tokens, nodes = [], []
-        for t, c, d in zip(*(table[x].to_pylist() for x in ("tokens", "codes", "nodes")), strict=True):
-            t = np.frombuffer(t, _U)
-            codes = np.frombuffer(c, np.uint16 if len(c) == 2 * len(t) else np.uint32)
-            tokens.append(t)
-            nodes.append(np.frombuffer(d, _U)[codes])
-        tokens, nodes = np.concatenate(tokens), np.concatenate(nodes)
+        n = pc.sum(pc.binary_length(table["tokens"])).as_py() // 8
+        tokens, nodes, at = np.empty(n, _U), np.empty(n, _U), 0
+        for row in zip(*(table[x] for x in ("tokens", "codes", "nodes")), strict=True):
+            t, c, d = (np.frombuffer(x.as_buffer(), np.uint8) for x in row)
+            codes = c.view(np.uint16 if 4 * len(c) == len(t) else np.uint32)
+            end = at + len(codes)
+            tokens[at:end], nodes[at:end] = t.view(_U), d.view(_U)[codes]
+            at = end
         # Only shingles that come twice matter; copies of one set count once.
         order = np.argsort(tokens, kind="stable")
         tokens, nodes = tokens[order], nodes[order]
+        del order
         same = np.zeros(len(tokens), bool)
         same[1:] = tokens[1:] == tokens[:-1]
         same[:-1] |= same[1:]

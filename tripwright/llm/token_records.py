@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import big_enough, lean
+from tripwright.llm.common import KEPT, big_enough, lean
 from tripwright.llm.words import SLICE_BYTES, run_hashes, slices, text_bytes
 
 _MASK = 0xA282EAD8
@@ -206,16 +206,13 @@ class Encoder:
                 yield ids[a:b]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def _encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
+    if path not in KEPT:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+        KEPT[path] = Encoder(path)
+    return KEPT[path]
 
 
 def write_records(
@@ -247,7 +244,7 @@ def write_records(
     def encode(batches):
         encoder = _encoder(tokenizer)
         end = np.array([end_id], encoder.dtype).tobytes()
-        for batch in lean(batches):
+        for batch in lean(batches, keep=tokenizer):
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 framed = [
@@ -279,7 +276,6 @@ def _index(spark: SparkSession, path: str) -> DataFrame:
     """Read every record back, check it, and say where it lies."""
 
     def walk(batches):
-        _ENCODERS.clear()  # workers are reused, and reading needs no tokenizer
         for batch in lean(batches):
             for at in range(batch.num_rows):
                 name = batch["file"][at].as_py()
