@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +83,21 @@ def lean(batches: Iterable[pa.RecordBatch], keep: str = "") -> Iterator[pa.Recor
         give_back()
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """At most so many rows in an Arrow batch of the jobs run inside; a setting of the session.
+
+    The JVM holds a batch outside its heap, in buffers that grow by doubling.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Bloom:
     """A filter of fixed size: it never misses a member, and lets a few others through.
 

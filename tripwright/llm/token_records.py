@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import KEPT, big_enough, lean
+from tripwright.llm.common import KEPT, arrow_rows, big_enough, lean
 from tripwright.llm.words import SLICE_BYTES, run_hashes, slices, text_bytes
 
 _MASK = 0xA282EAD8
@@ -43,6 +43,8 @@ _CHECK = struct.Struct("<I")
 NULL_ID, WIDE = 1, 2
 #: Parts of texts that one Python worker remembers the ids of, at about 40 bytes each.
 CACHE_PARTS = 1_500_000
+#: Texts that a worker takes, and records that it gives, at a time.
+BATCH_ROWS = 1024
 _BLANK = np.zeros(256, bool)
 _BLANK[[*range(9, 14), *range(28, 33)]] = True
 _LETTER = np.zeros(256, bool)
@@ -245,8 +247,8 @@ def write_records(
         encoder = _encoder(tokenizer)
         end = np.array([end_id], encoder.dtype).tobytes()
         for batch in lean(batches, keep=tokenizer):
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(at, BATCH_ROWS)
                 framed = [
                     frame(doc_id, x.tobytes() + end, encoder.wide)
                     for doc_id, x in zip(
@@ -258,8 +260,10 @@ def write_records(
     framed = dealt.select("doc_id", "text").mapInArrow(encode, "record binary")
     # The record's own last byte is the line feed that the writer adds.
     body = F.expr("substring(record, 1, length(record) - 1)")
-    framed.select(body.cast("string")).write.text(f"{path}/records")
-    _index(spark, f"{path}/records").write.parquet(f"{path}/index")
+    with arrow_rows(spark, BATCH_ROWS):
+        framed.select(body.cast("string")).write.text(f"{path}/records")
+    with arrow_rows(spark, 1):  # a whole file
+        _index(spark, f"{path}/records").write.parquet(f"{path}/index")
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
