@@ -121,7 +121,10 @@ def template_sets(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
 
 
 def units(docs: DataFrame) -> DataFrame:
-    """doc_id, kind, unit (number) and ``body`` of every unit; equal units of a text come once."""
+    """doc_id, kind, unit (number) and ``words`` of every unit.
+
+    Words are cut inside the generator: a filter on them is then not computed from the text again.
+    """
     text = F.col("text")
     whole = F.array(text)
     paragraphs = F.split(text, r"\n[ \t\r]*\n", -1)
@@ -131,7 +134,8 @@ def units(docs: DataFrame) -> DataFrame:
 
     def numbered_as(kind: int, parts: Column) -> Column:
         def one(body: Column, i: Column) -> Column:
-            return F.struct(F.lit(kind).alias("kind"), i.alias("unit"), body.alias("body"))
+            words = F.split(normalised(body), " ").alias("words")
+            return F.struct(F.lit(kind).alias("kind"), i.alias("unit"), words)
 
         return F.transform(parts, one)
 
@@ -159,10 +163,10 @@ def scan(
     allowed = spark.createDataFrame(bounds, "license string, n_unit int")
     split = (
         units(docs)
-        .select("doc_id", "kind", "unit", F.split(normalised(F.col("body")), " ").alias("words"))
         .where(F.size("words") > least)
         .select("doc_id", "kind", "unit", bigrams(F.col("words")).alias("own"))
-        .withColumn("n_unit", F.size("own"))
+        # Never null, so that the join doesn't filter by it, computing the sets twice.
+        .withColumn("n_unit", F.coalesce(F.size("own"), F.lit(0)))
     )
     common = F.size(F.array_intersect("own", "template"))
     dice = (F.lit(2.0) * common) / (F.col("n_unit") + F.col("n_template"))
