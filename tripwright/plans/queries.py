@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -237,8 +238,9 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     missing = next_month(last_loaded_month(spark, store, SOURCE_NAME), LOADED_AT)
     try:
         load_month(spark, store, landing, missing)
-    except Exception:  # recorded in the audit table, which is the point here
-        pass
+    except AnalysisException as error:  # recorded in the audit table, which is the point here
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
     return read_audit(spark, store).select(
         "source_name", "month", "source_file", "status", "rows_loaded",
         (F.col("error_message").isNotNull()).alias("has_error"),
