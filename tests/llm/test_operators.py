@@ -382,6 +382,52 @@ def test_passages_that_repeat_are_found_and_others_left(spark, docs, empty):
     assert compact_windows.report(empty).count() == 0
 
 
+def test_edited_passages_are_found_as_by_brute_force(spark):
+    import random
+
+    draw = random.Random(7)
+
+    def fresh_words(n):
+        return [f"{draw.getrandbits(40):x}" for _ in range(n)]
+
+    def edited(w, edits, middle):
+        w = list(w)
+        for edit in edits:
+            at = len(w) // 2 if middle else draw.randrange(6, len(w) - 6)
+            w[at : at + (edit != "insert")] = fresh_words(edit != "delete")
+        return w
+
+    def cut(w):
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    texts, want = [], set()
+    for n, edits, middle in [
+        (60, ["insert"], True),
+        (60, ["delete"], True),
+        (60, ["replace"], True),
+        (100, ["insert", "delete"], False),
+        (100, ["insert", "insert"], False),
+        (150, ["insert", "delete", "replace"], False),
+    ]:
+        for _ in range(20):
+            one = fresh_words(n)
+            two = edited(one, edits, middle)
+            a, b = cut(one), cut(two)
+            assert len(a & b) / len(a | b) >= 0.8
+            for w in (one, two):
+                want.add(len(texts))
+                texts.append((len(texts), " ".join(fresh_words(40) + w + fresh_words(40))))
+    # Too many edits for a Jaccard of 0.8 anywhere.
+    one = fresh_words(200)
+    two = [w for k, x in enumerate(one) for w in ([x, *fresh_words(1)] if k % 20 == 0 else [x])]
+    texts += [(len(texts), " ".join(one)), (len(texts) + 1, " ".join(two))]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in compact_windows.report(frame).collect()}
+    assert set(got) == want
+    assert all(got[i].partner == i ^ 1 for i in want)
+    assert all(got[i].spans == "40:100" for i in range(0, 40, 2))
+
+
 def test_extents_are_the_nearest_smaller_values():
     import random
 
