@@ -356,6 +356,24 @@ def test_components_are_those_of_all_pairs(spark, docs, empty):
     assert {1, 4, 5, 6, 7, 9, 10, 11, 12, None} == {r.doc_id for r in kept.collect()}
 
 
+def test_near_copies_go_by_row(spark):
+    a, b, c = (words_of_kind(i, 60) + f" k{i}" for i in range(3))
+    a, b, c = (" ".join(f"{x}{w}" for w in t.split()) for x, t in zip("abc", (a, b, c), strict=True))
+    texts = [(3, a), (7, a), (7, b), (9, b), (1, c), (1, c), (None, c), (1, c + " end"), (None, ""), (2, ""), (2, "")]
+    texts += [(None, "x " + words_of_kind(9, 30)), (None, "x " + words_of_kind(9, 30))]
+    frame = spark.createDataFrame([(*t, n) for n, t in enumerate(texts)], "doc_id long, text string, dropped_row long")
+    path = work_dir(spark, "test-near-copies")
+    frame.repartition(3).write.parquet(path)
+    want = sorted([(3, a), (7, b), (None, ""), (2, ""), (2, ""), texts[-1]], key=key)
+    for docs in (frame, spark.read.parquet(path)):
+        kept = set_relations.one_of_each(docs)
+        assert kept.columns == docs.columns
+        got = [tuple(r)[:2] for r in kept.collect()]
+        (one,) = (x for x in got if x[0] == 1)
+        assert one[1] in (c, c + " end")
+        assert sorted((x for x in got if x[0] != 1), key=key) == want
+
+
 def test_frequent_shingles_come_last_without_losing_links(spark, monkeypatch):
     monkeypatch.setattr(set_relations, "FREQUENT_COUNT", 8)
     monkeypatch.setattr(set_relations, "LOCAL_COUNT", 1)

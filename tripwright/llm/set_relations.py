@@ -30,6 +30,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,9 +108,9 @@ def _place(frequent: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.where(frequent[at] == hashes, at, -1)
 
 
-def _nodes(docs: DataFrame, frequent: np.ndarray, rank: np.ndarray) -> DataFrame:
-    """doc_id, n, node (null without shingles), rare (shingles that aren't frequent) and last, the
-    frequent shingles in the prefix."""
+def _nodes(docs: DataFrame, frequent: np.ndarray, rank: np.ndarray, keys: list[str]) -> DataFrame:
+    """doc_id, n, node (null without shingles), rare (shingles that aren't frequent), last, the
+    frequent shingles in the prefix, and the keys, columns of longs."""
 
     def describe(batches):
         for batch in lean(batches):
@@ -133,12 +134,14 @@ def _nodes(docs: DataFrame, frequent: np.ndarray, rank: np.ndarray) -> DataFrame
                         pa.array(set_hash(hashes, owner, n).view(np.int64), mask=size == 0),
                         pa.array(rare.astype(np.int64)),
                         ragged(hashes[late].view(np.int64), edges),
+                        *[batch[key].slice(w.first, n) for key in keys],
                     ],
-                    ["doc_id", "n", "node", "rare", "last"],
+                    ["doc_id", "n", "node", "rare", "last", *keys],
                 )
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keys)
     schema = "doc_id long, n long, node long, rare long, last array<long>"
+    schema += "".join(f", {key} long" for key in keys)
     return stored(source.mapInArrow(describe, schema), "set-nodes")
 
 
@@ -155,7 +158,9 @@ def _shared(texts: DataFrame, frequent: np.ndarray, buckets: int) -> DataFrame:
                 bucket = (hashes >> _U(32)) % _U(buckets)
                 order = np.lexsort((hashes, bucket))
                 hashes, owner, bucket = hashes[order], owner[order], bucket[order]
-                edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
+                if not len(bucket):  # no text of the slice has a rare shingle
+                    continue
+                edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
                 rows = []
                 for low, high in zip(edges, [*edges[1:], len(bucket)], strict=True):
                     own, code = np.unique(owner[low:high], return_inverse=True)
@@ -365,21 +370,26 @@ def _links(entries: DataFrame, sets: DataFrame) -> DataFrame:
     return linked.union(_verified(stored(rest, "set-rest"), sets))
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of each row."""
+def _rooted(docs: DataFrame, *keys: str) -> DataFrame:
+    """doc_id, n, root (of the component; null without shingles) and the keys of each row."""
     texts = docs.select("text")
     frequent, rank = _frequent(texts)
-    nodes = _nodes(docs, frequent, rank)
+    nodes = _nodes(docs, frequent, rank, list(keys))
     total = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shared = _shared(texts, frequent, big_enough(total, BUCKET_SHINGLES))
     entries = _index(nodes, shared)
     roots = components(_links(entries, _sets(texts, entries)))
-    placed = stored(
-        nodes.select("doc_id", "n", "node")
+    return stored(
+        nodes.select("doc_id", "n", "node", *keys)
         .join(roots, "node", "left")
-        .select("doc_id", "n", F.coalesce("root", "node").alias("root")),
+        .select("doc_id", "n", F.coalesce("root", "node").alias("root"), *keys),
         "set-roots",
     )
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of each row."""
+    placed = _rooted(docs)
     least = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return placed.join(least, "root", "left").select(
         "doc_id",
@@ -388,16 +398,40 @@ def classes(docs: DataFrame) -> DataFrame:
     )
 
 
+def _stored_rows(docs: DataFrame) -> DataFrame:
+    """``docs``, stored if they aren't read from files that say where each row is."""
+    try:
+        docs.select(docs.metadataColumn("_metadata")["row_index"]).schema  # noqa: B018
+    except AnalysisException:
+        return stored(docs, "set-docs")
+    return docs
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without all but one of each component, with all their columns.
 
-    The smallest doc_id stays, and of rows that repeat it the one with the least text.
+    The row of the smallest doc_id stays (a null one if all are), of rows that repeat it the one
+    with the least hash of its text, and of equal ones the first by its place in the stored files.
     Rows without shingles all stay.
     """
-    found = stored(classes(docs), "set-classes")
-    gone = found.where(
-        (F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
+    docs = _stored_rows(docs)
+    at = docs.metadataColumn("_metadata")
+    keyed = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "text",
+        F.xxhash64("text").alias("mark"),
+        F.xxhash64(at["file_path"]).alias("file"),
+        at["row_index"].alias("row"),
+    )
+    found = _rooted(keyed, "mark", "file", "row").where("root is not null")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark", "file", "row")
+    first = found.groupBy("root").agg(F.min(order).alias("first"))
+    file, row = fresh(docs.columns, "dropped_file", "dropped_row")
+    gone = (
+        found.join(first.select("root", "first.file", "first.row").toDF("root", "one", "nth"), "root")
+        .where((F.col("file") != F.col("one")) | (F.col("row") != F.col("nth")))
+        .select(F.col("file").alias(file), F.col("row").alias(row))
     )
-    (drop,) = fresh(docs.columns, "dropped_id")
-    gone = gone.where("doc_id is not null").select(F.col("doc_id").alias(drop)).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col(drop), "left_anti")
+    gone = stored(gone, "set-gone")
+    placed = docs.withColumns({file: F.xxhash64(at["file_path"]), row: at["row_index"]})
+    return placed.join(gone, [file, row], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
