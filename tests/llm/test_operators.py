@@ -116,6 +116,28 @@ def test_mixing_to_given_weights(spark):
     assert mixed.select("slot").distinct().count() == 4000
 
 
+@pytest.mark.parametrize("weights", [[0.9, 0.1], [0.5] + [0.5 / 9] * 9, [1.0] + [1e-4] * 20, [3, 2, 2]])
+def test_no_source_drifts_from_its_given_weight(weights):
+    blocks = [20_000 if w == max(weights) else 15_000 for w in weights]
+    first = [p for p in pfair_mix.plan(blocks, weights, 1000) if p.phase == 0]
+    length = sum(len(p.slots) for p in first)
+    assert length > 20_000
+    for p in first:
+        target = weights[p.source] / sum(weights)
+        for i, slot in enumerate(p.slots):
+            assert abs(i - slot * target) <= 1.01 and abs(i + 1 - (slot + 1) * target) <= 1.01
+    assert sum(len(p.slots) for p in pfair_mix.plan(blocks, weights, 1000)) == sum(blocks)
+
+
+def test_every_named_source_keeps_its_weight(spark):
+    docs = spark.range(6000).selectExpr("id AS doc_id", "concat('s', id % 300) AS source", "10L AS size")
+    weights = {f"s{i}": 5.0 if i >= 290 else 1.0 for i in range(300)}
+    mixed, _ = pfair_mix.mix(docs, weights=weights, block_chars=10, size="size")
+    got = Counter(r.source for r in mixed.where("slot < 1020").collect())
+    assert len(got) == 300
+    assert all(abs(got[s] - 1020 * w / 340) <= 1.01 for s, w in weights.items())
+
+
 # records
 
 
