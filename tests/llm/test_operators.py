@@ -216,6 +216,16 @@ def test_winnowing_finds_every_window(spark, docs, empty):
     assert winnowing.hits(docs, items.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_items_without_an_id_hit_too(spark):
+    unnamed, named = words_of_kind(5, 20), words_of_kind(6, 20).replace("v", "n")
+    texts = [(1, f"a b {unnamed} c"), (2, f"{named} d"), (3, "short one here"), (4, f"{unnamed} {named}"), (5, "clean")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    items = spark.createDataFrame([(None, unnamed), (7, named), (None, "short one")], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r["items"]) for r in winnowing.hits(docs, items).collect()}
+    assert got == {1: (20, 0, []), 2: (20, 1, ["7"]), 3: (2, 0, []), 4: (40, 1, ["7"]), 5: (0, 0, [])}
+    assert [r.doc_id for r in winnowing.decontaminate(docs, items).collect()] == [5]
+
+
 # suffix tree
 
 

@@ -14,7 +14,8 @@ A document word inside any occurrence of a window is hit. A document is contamin
 hit and its hits are at least ``least_share`` of its words.
 
 Null texts have no words: they are never hit, and such an item never occurs. Results follow rows:
-rows that repeat a doc_id each get their own, null doc_ids too. Items that repeat an id count once.
+rows that repeat a doc_id each get their own, null doc_ids too. Items that repeat an id count once;
+those without an id hit like others, but are not among the items named or counted.
 An empty benchmark hits nothing; an empty table gives no rows. ``decontaminate`` keeps all columns,
 whatever their names.
 """
@@ -63,9 +64,9 @@ def _windows(items: DataFrame) -> DataFrame:
 
     def cut(batches):
         for batch in lean(batches):
-            ids = batch["item_id"].to_numpy(zero_copy_only=False)
+            ids = batch["item_id"]
             for w in words(batch["text"], ALPHANUMERIC):
-                own = ids[w.first : w.first + len(w.counts)]
+                own = w.first + np.arange(len(w.counts))
                 first, second, whole = _pair(w.hashes, w.starts, WINDOW)
                 grams, _ = ngrams(w.hashes, w.starts, GRAM)
                 at, rows = np.flatnonzero(whole), []
@@ -78,13 +79,13 @@ def _windows(items: DataFrame) -> DataFrame:
                     rows.append((own[short], np.full(len(at), n), one[at], two[at], one[at]))
                 cols = [np.concatenate(c) for c in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0]), pa.array(cols[1].astype(np.int32))]
+                    [ids.take(pa.array(cols[0])), pa.array(cols[1].astype(np.int32))]
                     + [signed(c) for c in cols[2:]],
                     ["item_id", "size", "first", "second", "fingerprint"],
                 )
 
     schema = "item_id long, size int, first long, second long, fingerprint long"
-    known = items.where("item_id is not null").select(F.col("item_id").cast("long"), "text")
+    known = items.select(F.col("item_id").cast("long").alias("item_id"), "text")
     return known.mapInArrow(cut, schema).distinct()
 
 
