@@ -303,6 +303,20 @@ def test_base_spans_and_entropy(spark, docs, empty):
     assert entropy_secrets.report(empty).count() == 0
 
 
+def test_hex_keys_of_any_case_are_found(spark):
+    import random
+
+    draw = random.Random(9)
+    keys = ["".join(draw.choices("0123456789ABCDEF", k=40)) for _ in range(100)]
+    keys += ["".join(draw.choice([x, x.upper()]) for x in key.lower()) for key in keys]
+    texts = [(i, f"id {key} end") for i, key in enumerate([*keys, "AB12" * 10])]
+    got = entropy_secrets.report(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    # A key with 16 lower-case digits in a row has a base span, which no other may overlap.
+    based = {i for i, key in enumerate(keys) if re.search("[0-9a-f]{16}", key)}
+    assert {r.doc_id for r in got if "entropy:3:43" in r.spans.split(",")} == {*range(200)} - based
+    assert {r.doc_id for r in got if r.n_hex} == based and len(based) < 50
+
+
 @pytest.mark.parametrize("name", entropy_secrets.CLASSES)
 def test_window_entropy_is_shannons(spark, name):
     import random

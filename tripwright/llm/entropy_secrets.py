@@ -3,7 +3,7 @@
 Everything is a Spark expression over the row; nothing is shuffled.
 
 A candidate is a run of ``[A-Za-z0-9+/_=-]`` of ``LEAST`` characters or more, of the class hex or
-mixed. Over each class's own alphabet, a window of ``WINDOW`` characters slides along it; entering
+mixed; hex in any case, folded. Over each class's own alphabet, a window of ``WINDOW`` characters slides along it; entering
 and leaving characters change one count each, and with them the sum of c * log2(c) that the
 window's entropy follows from. A candidate is a secret when some window reaches its class's
 threshold, unless an allow-list pattern finds it, a base span overlaps it, or it lacks a digit or
@@ -177,9 +177,10 @@ def _random(candidate: Column) -> Column:
         allowed = allowed | candidate.rlike(pattern)
     enough = F.lit(False)
     for name, (alphabet, least) in CLASSES.items():
-        of_class = candidate.rlike("^[0-9a-f]+$")
+        of_class = candidate.rlike("^[0-9a-fA-F]+$")
         of_class = of_class if name == "hex" else ~of_class
-        enough = F.when(of_class, window_entropy(candidate, alphabet) >= least).otherwise(enough)
+        folded = F.translate(candidate, "ABCDEF", "abcdef") if name == "hex" else candidate
+        enough = F.when(of_class, window_entropy(folded, alphabet) >= least).otherwise(enough)
     varied = candidate.rlike("[0-9]") & candidate.rlike("[A-Za-z]")
     return F.when(varied & ~allowed, enough).otherwise(F.lit(False))
 
