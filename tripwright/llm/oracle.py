@@ -117,9 +117,104 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE r <= 5
 """
 
+#: The byte table of CRC-32, from its polynomial.
+_CRC_TABLE = """
+  SELECT list(list_reduce(list_concat([i], range(8)), lambda c, k:
+    xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY i) AS crc
+  FROM range(256) r(i)
+"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text, where ``crc`` is the byte table."""
+    digits = f"hex(encode({text}))"
+    digit = "(instr('0123456789ABCDEF', {0}[{1}]) - 1)"
+    data = (
+        f"list_transform(range(1, len({digits}), 2), lambda p:"
+        f" 16 * {digit.format(digits, 'p')} + {digit.format(digits, 'p + 1')})"
+    )
+    return (
+        f"xor(list_reduce(list_concat([4294967295], {data}), lambda c, b:"
+        " xor(c >> 8, crc[xor(c & 255, b) + 1])), 4294967295)"
+    )
+
+
+_OP11 = f"""
+WITH RECURSIVE t AS ({_CRC_TABLE}), r AS (
+  SELECT CAST(doc_id AS VARCHAR) AS d, unnest(regexp_extract_all({_FOLD}, '[A-Za-zÀ-ÿ]+')) AS r
+  FROM documents
+), c AS (
+  SELECT d, r, count(*) AS n FROM r WHERE len(r) >= 5 GROUP BY 1, 2
+), h AS (
+  SELECT r, n, {_crc32("coalesce(d, '') || ':' || r")} AS h FROM c, t
+), v AS (
+  SELECT CASE WHEN h % 97 = 0 THEN r[1:h % len(r)] || r[h % len(r) + 2:] ELSE r END AS word,
+    CAST(sum(n) AS BIGINT) AS n
+  FROM h GROUP BY 1 HAVING len(word) >= 5 AND sum(n) >= 3
+), g AS (
+  SELECT word, n, p, word[1:p - 1] || word[p + 1:] AS gap FROM v, unnest(range(1, len(word) + 1)) u(p)
+), e AS (
+  SELECT a.word, b.word AS near, b.n FROM g a JOIN g b ON a.p = b.p AND a.gap = b.gap AND a.word <> b.word
+  UNION SELECT g.word, v.word, v.n FROM g JOIN v ON g.gap = v.word
+  UNION SELECT v.word, g.word, g.n FROM g JOIN v ON g.gap = v.word
+), k AS (
+  SELECT word, count(*) AS n_near, max(n) AS top FROM e GROUP BY 1
+), b AS (
+  SELECT word, min(near) AS near, any_value(top) AS top FROM e JOIN k USING (word) WHERE e.n = top GROUP BY 1
+), f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN b.top >= 2 * v.n THEN near END AS form, CASE WHEN b.top >= 2 * v.n THEN b.top END AS form_n
+  FROM v LEFT JOIN k USING (word) LEFT JOIN b USING (word)
+), w AS (
+  SELECT word, form AS far, form_n AS far_n FROM f WHERE form IS NOT NULL
+  UNION SELECT w.word, f.form, f.form_n FROM w JOIN f ON w.far = f.word WHERE f.form IS NOT NULL
+)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n
+FROM f LEFT JOIN (SELECT word, arg_max(far, far_n) AS root FROM w GROUP BY 1) USING (word)
+"""
+
+_OP13 = f"""
+WITH t AS ({_CRC_TABLE}), s AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL) q, t
+), m AS (
+  SELECT c.conv_id, s.p, s.role, s.text FROM c JOIN s ON s.conv_id = c.conv_id - c.conv_id % 100 AND s.p <= h
+  UNION ALL SELECT c.conv_id, h + s.p, s.role, s.text FROM c JOIN s USING (conv_id) WHERE s.p > h
+), o AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY p) AS d, role, text FROM m
+), w AS (
+  SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY d) AS turns FROM o GROUP BY 1
+), z AS (
+  SELECT conv_id, coalesce(turns, []) AS turns FROM c LEFT JOIN w USING (conv_id)
+), x AS (
+  SELECT conv_id, d, len(turns) AS size, turns[1:d] AS node, len(coalesce(turns[d].text, '')) AS chars
+  FROM z, unnest(range(0, len(turns) + 1)) u(d)
+), n AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE size = d), '')) AS ends_sha256
+  FROM x GROUP BY 1, 2
+), k AS (
+  SELECT node[1:d - 1] AS node, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2
+), l AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (node, d)
+), a AS (
+  SELECT node[1:u.e] AS node, u.e AS d, sum(CAST(n_children = 0 AS INT)) AS n_leaves, sum((n_convs - 1) * chars) AS saved
+  FROM l, unnest(range(0, d + 1)) u(e) GROUP BY 1, 2
+)
+SELECT l.conv_id, l.d AS depth, p.conv_id AS parent_conv_id, l.n_convs, l.n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, l.ends_sha256
+FROM l JOIN a USING (node, d) LEFT JOIN n p ON p.d = l.d - 1 AND p.node = l.node[1:l.d - 1]
+"""
+
 ORACLE = {
     "op4_winnowing": _OP4,
     "op8_set_relations": _OP8,
     "op9_dice_licenses": _OP9,
     "op10_mtree_topk": _OP10,
+    "op11_trie_frontier": _OP11,
+    "op13_prefix_bitmaps": _OP13,
 }

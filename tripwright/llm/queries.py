@@ -9,12 +9,15 @@ from tripwright.llm import (
     compact_windows,
     dice_licenses,
     entropy_secrets,
+    min_slack,
     mtree_topk,
     pfair_mix,
+    prefix_bitmaps,
     set_relations,
     site_bayes,
     suffix_tree,
     token_records,
+    trie_frontier,
     winnowing,
 )
 from tripwright.llm.common import table
@@ -28,6 +31,13 @@ def byte_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def word_tokenizer() -> str:
+    """Place of the public vocabulary with word ends."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     chars = F.greatest(F.coalesce(F.length("text"), F.lit(0)), F.lit(1)).cast("long")
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", chars.alias("n"))
@@ -84,6 +94,27 @@ def op10_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree_topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def op11_trie_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_frontier.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_min_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = min_slack.pack(table(spark, sf_dir, "documents"), word_tokenizer())
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op13_prefix_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bitmaps.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -97,5 +128,8 @@ QUERIES = {
         op8_set_relations,
         op9_dice_licenses,
         op10_mtree_topk,
+        op11_trie_frontier,
+        op12_min_slack,
+        op13_prefix_bitmaps,
     )
 }
