@@ -6,13 +6,15 @@ from pyspark.sql import functions as F
 
 from tripwright.operators.rollups import daily_mart
 from tripwright.operators.upsert import (
-    SchemaChanged,
     merge_by_key,
+    monthly,
     newest_date,
     read_daily,
     refresh_daily,
+    write_months,
 )
 from tripwright.schemas import DAILY
+from tripwright.sources.versions import NotBuilt, SchemaChanged
 
 
 @pytest.fixture
@@ -86,12 +88,12 @@ def test_full_refresh_drops_what_is_gone(spark, path):
 
 
 def test_changed_table_schema_is_refused(spark, path):
-    month = F.trunc("trip_date", "month")
-    old = daily(spark, ("2024-01-01", 2, 3)).withColumn("trip_month", month)
-    old.drop("avg_tip").write.partitionBy("trip_month").parquet(path)
+    table = monthly(path)
+    old = daily(spark, ("2024-01-01", 2, 3)).drop("avg_tip")
+    table.commit(spark, None, old.schema, write_months(old, table, {}))
     with pytest.raises(SchemaChanged):
         refresh_daily(spark, days(spark, *BASE), path)
-    assert spark.read.parquet(path).count() == 1
+    assert table.read(spark, old.schema, table.built(spark)).count() == 1
 
 
 def test_merge_by_key(spark):
@@ -111,6 +113,8 @@ def test_merge_by_key(spark):
 
 def test_newest_date(spark, path):
     assert newest_date(spark, path) is None
+    with pytest.raises(NotBuilt):
+        read_daily(spark, path)
     refresh_daily(spark, days(spark, *BASE), path)
     assert newest_date(spark, path) == date(2024, 2, 1)
     assert read_daily(spark, path).count() == 5

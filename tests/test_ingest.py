@@ -130,16 +130,16 @@ def test_a_plain_file_is_a_month(spark, store, landing, tmp_path):
     assert read_raw(spark, store).first().total_amount == Decimal("39.44")
 
 
-def test_failure_is_audited_and_changes_nothing(spark, store, landing):
+def test_a_month_that_fails_is_audited_and_holds_up_no_other(spark, store, landing):
     deliver(spark, landing, "2024-01", 1, 2)
     ingest.load_month(spark, store, landing, "2024-01")
     deliver(spark, landing, "2024-01", 9)
     with pytest.raises(Exception, match="2024-02"):
         ingest.load_months(spark, store, landing, ["2024-01", "2024-02"])
-    assert totals(spark, store) == [1, 2]
+    assert totals(spark, store) == [9]
     assert last_loaded_month(spark, store, SOURCE) == date(2024, 1, 1)
     assert audits(spark, store) == [
-        ("2024-01", "error", None), ("2024-01", "success", 2), ("2024-02", "error", None),
+        ("2024-01", "success", 1), ("2024-01", "success", 2), ("2024-02", "error", None),
     ]
     errors = read_audit(spark, store).where("status = 'error'").collect()
     assert all("PATH_NOT_FOUND" in row.error_message for row in errors)
@@ -197,7 +197,7 @@ def test_written_files_are_sorted_by_pickup(spark, store, landing):
     frame(spark, *rows).coalesce(1).write.parquet(f"{landing}/yellow_tripdata_2024-01.parquet")
     deliver(spark, landing, "2024-02", 3, 2, 1)
     ingest.load_months(spark, store, landing, ["2024-01", "2024-02"])
-    files = glob.glob(f"{store.raw}/*/*.parquet")
+    files = glob.glob(f"{store.raw}/data/*/*/*.parquet")
     assert len(files) == 2
     for file in files:
         pickups = pq.read_table(file, partitioning=None)["tpep_pickup_datetime"].to_pylist()

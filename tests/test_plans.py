@@ -11,6 +11,7 @@ from tripwright.operators.staging import stage_trips
 from tripwright.operators.trends import revenue_trends
 from tripwright.operators.upsert import since
 from tripwright.plans.queries import QUERIES
+from tripwright.plans.stored_queries import QUERIES as STORED_QUERIES
 from tripwright.sources.lineitem import lineitem_trips
 from tripwright.sources.tables import Store, read_raw, replace_files
 
@@ -90,7 +91,7 @@ LAZY = [
     for name in QUERIES
     if name not in {
         "daily_incremental", "load_month_idempotent", "watermark_next_month", "audit_log",
-        "stored_marts", "stream_ingest",
+        "stored_marts", "stream_ingest", *STORED_QUERIES,
     }
 ]
 

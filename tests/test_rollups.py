@@ -87,8 +87,9 @@ def test_distance_without_a_value(spark):
     worse = staged(spark, {"day": "2024-01-02", "trip_distance": float("inf")})
     fine = staged(spark, {"day": "2024-01-03", "trip_distance": 2.345})
     rows = daily_mart(bad.union(worse).union(fine)).orderBy("trip_date").collect()
-    assert [row.total_distance_miles for row in rows] == [None, None, Decimal("2.35")]
-    assert [row.avg_distance_miles for row in rows] == [None, None, Decimal("2.35")]
+    # what is no distance is left out, the others of the day count
+    assert [row.total_distance_miles for row in rows] == [Decimal("2.00"), None, Decimal("2.35")]
+    assert [row.avg_distance_miles for row in rows] == [Decimal("2.00"), None, Decimal("2.35")]
     assert [row.total_trips for row in rows] == [2, 1, 1]
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripwright.schemas import HEADER_TO_NAME, SOURCE_COLUMNS
@@ -44,12 +45,19 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*_names(df.schema)).selectExpr(_typed_columns(df.schema))
 
 
-def raw_rows(scan: DataFrame, source_file: str, loaded_at: datetime | None = None) -> DataFrame:
+def raw_rows(
+    scan: DataFrame, source_file: str | Column, loaded_at: datetime | None = None
+) -> DataFrame:
     """Normalized rows, the file they came from and the load time (UTC in any session zone)."""
     utc = "to_utc_timestamp(current_timestamp(), current_timezone())"
     now = utc if loaded_at is None else f"TIMESTAMP_NTZ'{loaded_at}'"
-    return scan.toDF(*_names(scan.schema)).selectExpr(
-        *_typed_columns(scan.schema),
-        f"'{source_file}' AS source_file",
-        f"CAST({now} AS TIMESTAMP_NTZ) AS loaded_at",
+    file = F.lit(source_file) if isinstance(source_file, str) else source_file
+    return (
+        scan.select("*", file)
+        .toDF(*_names(scan.schema), "source_file")
+        .selectExpr(
+            *_typed_columns(scan.schema),
+            "source_file",
+            f"CAST({now} AS TIMESTAMP_NTZ) AS loaded_at",
+        )
     )

@@ -115,6 +115,17 @@ def report(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, [rows(group) for group in passes])
 
 
+def failures_by_key(df: DataFrame, key: str, checks: Sequence[Check]) -> DataFrame:
+    """(key, column_name, check_name, failures) of row checks, one row per key and check."""
+    counts = [F.expr(f"count_if({c.fails()}) AS c{i}") for i, c in enumerate(checks)]
+    entries = ", ".join(f"'{c.column}', '{c.name}', c{i}" for i, c in enumerate(checks))
+    return (
+        df.groupBy(key)
+        .agg(*counts)
+        .selectExpr(key, f"stack({len(checks)}, {entries}) AS (column_name, check_name, failures)")
+    )
+
+
 def freshness(
     df: DataFrame,
     loaded_at: str,

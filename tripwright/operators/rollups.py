@@ -4,8 +4,8 @@ Both are ``groupBy().agg()`` over sums that combine before the shuffle, so a day
 or a zone holding a large share of all trips costs one partial row per task. The
 measures are whole-number sums (see ``functions.exact``); distances and durations
 are split into a whole part and a sub-unit part so neither can overflow. A distance
-counts to the millionth of a mile; a group with one of 1e12 miles or more, NaN or
-infinity has no distance measures.
+counts to the millionth of a mile; one of 1e12 miles or more, NaN or infinity is none
+and left out of the distance measures (the declared range check counts such rows).
 """
 
 from __future__ import annotations
@@ -36,10 +36,9 @@ TRIP_SUMS = {
     "tips": "count(tip_amount)",
 }
 
-# a group with a distance that can't be one has no total
 _MILES = (
-    "if(unbounded_distances = 0, CAST(CAST(whole_miles AS DECIMAL(18,0))"
-    " + CAST(micro_miles AS DECIMAL(20,0)) * 0.000001BD AS DECIMAL(24,6)), NULL)"
+    "CAST(CAST(whole_miles AS DECIMAL(18,0))"
+    " + CAST(micro_miles AS DECIMAL(20,0)) * 0.000001BD AS DECIMAL(24,6))"
 )
 _SECONDS = (
     "(CAST(ride_seconds AS DECIMAL(18,0))"
@@ -51,7 +50,7 @@ MEASURES = {
     "total_trips": "trips",
     "total_passengers": "passengers",
     "total_distance_miles": rounded(_MILES, 2),
-    "avg_distance_miles": ratio(_MILES, "trips", 2),
+    "avg_distance_miles": ratio(_MILES, "trips - unbounded_distances", 2),
     "avg_duration_minutes": ratio(_SECONDS, "trips * 60", 1),
     "total_revenue": rounded(_REVENUE, 2),
     "avg_fare": ratio(_REVENUE, "trips", 2),
@@ -86,22 +85,27 @@ def _commonest(value: str, count: str) -> Column:
     )
 
 
-def zone_mart(staged: DataFrame) -> DataFrame:
-    """One row per pickup zone over its whole history; a NULL zone is a zone.
+def pair_sums(staged: DataFrame, *keys: str) -> DataFrame:
+    """Additive sums of each pair of zones (and other keys), from which sums of sums can be made."""
+    return staged.groupBy(*keys, "pu_location_id", "do_location_id").agg(*_trip_sums())
 
-    The first step groups by (zone, dropoff zone), so the mode needs no per-group
-    value map: its counts are ordinary sums, and the second step reads only one row
-    per pair.
-    """
+
+def merged_sums(sums: DataFrame) -> DataFrame:
+    """Sums over the pairs of zones of several ``pair_sums``."""
+    return sums.groupBy("pu_location_id", "do_location_id").agg(
+        *[F.expr(f"sum({name}) AS {name}") for name in TRIP_SUMS]
+    )
+
+
+def zones_of_pairs(pairs: DataFrame) -> DataFrame:
+    """The zone mart from one row of sums for each pair of zones."""
     columns = {
         "pickup_zone_id": "pu_location_id",
         "most_common_dropoff_zone": "best.value",
         **MEASURES,
     }
     return (
-        staged.groupBy("pu_location_id", "do_location_id")
-        .agg(*_trip_sums())
-        .groupBy("pu_location_id")
+        pairs.groupBy("pu_location_id")
         .agg(
             _commonest("do_location_id", "trips"),
             *[F.expr(f"sum({name}) AS {name}") for name in TRIP_SUMS],
@@ -110,6 +114,16 @@ def zone_mart(staged: DataFrame) -> DataFrame:
     )
 
 
+def zone_mart(staged: DataFrame) -> DataFrame:
+    """One row per pickup zone over its whole history; a NULL zone is a zone.
+
+    The first step groups by (zone, dropoff zone), so the mode needs no per-group
+    value map: its counts are ordinary sums, and the second step reads only one row
+    per pair.
+    """
+    return zones_of_pairs(pair_sums(staged))
+
+
 def mode_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
     """Most frequent ``value`` of each ``key`` and how often it occurs."""
     return (

@@ -6,6 +6,8 @@ at most one row per calendar date, so it does not grow with the number of trips.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,6 +88,19 @@ _DEMAND = f"""
 """
 
 
+CARRIED_ROWS = 7
+
+
+def trends_from(daily: DataFrame, earlier: DataFrame, first: date) -> DataFrame:
+    """The trends of a month's first day and everything after it.
+
+    ``daily`` has the rows from that day on and ``earlier`` some of those before it: the averages
+    and growths of the first rows look back on the seven rows next to them, ranks on none.
+    """
+    carried = earlier.orderBy(F.desc("trip_date")).limit(CARRIED_ROWS)
+    return revenue_trends(daily.unionByName(carried)).where(F.col("trip_date") >= F.lit(first))
+
+
 def revenue_trends(daily: DataFrame, calendar: bool = False) -> DataFrame:
     """The trends mart. Growth is derived from lag columns computed once."""
     kept = [name for name in TRENDS.names if name in daily.columns]

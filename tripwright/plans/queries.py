@@ -7,20 +7,13 @@ folder under ``spark.checkpoint.dir`` first and return a read of what they wrote
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timedelta
+from datetime import timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwright.functions.exact import ratio
-from tripwright.functions.months import (
-    following_month,
-    month_of,
-    month_start,
-    months_due,
-    next_month,
-)
+from tripwright.functions.months import following_month, next_month
 from tripwright.operators import quality, reports
 from tripwright.operators.normalize import normalize_columns
 from tripwright.operators.rollups import daily_mart, file_summary, mode_per_key, zone_mart
@@ -34,10 +27,11 @@ from tripwright.operators.trends import (
 )
 from tripwright.operators.upsert import merge_by_key, refresh_daily
 from tripwright.plans import build
-from tripwright.plans.ingest import load_month, load_months
+from tripwright.plans.delivered import LOADED_AT, deliver, loaded
+from tripwright.plans.ingest import load_month
+from tripwright.plans.stored_queries import QUERIES as STORED_QUERIES
 from tripwright.schemas import SOURCE_NAME
 from tripwright.session import work_dir
-from tripwright.sources.landing import write_landing
 from tripwright.sources.lineitem import as_delivered, lineitem_trips
 from tripwright.sources.tables import (
     Store,
@@ -50,9 +44,6 @@ from tripwright.streaming.landing_stream import ingest_new_months
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-LOADED_AT = datetime(2024, 2, 1)
-HEADER_CHANGE = date(1998, 1, 1)  # first month delivered under the current headers
-
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_trips(lineitem_trips(spark, sf_dir))
@@ -77,7 +68,7 @@ def raw_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Camel-case headers in, one column missing, one unknown."""
     delivered = as_delivered(lineitem_trips(spark, sf_dir))
     return normalize_columns(
-        delivered.drop("Airport_fee").withColumn("extra_column_from_source", F.lit("ignored"))
+        delivered.drop("Airport_fee").withColumn("meter_serial", F.lit("M-7"))
     )
 
 
@@ -196,37 +187,14 @@ def daily_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_by_key(days, changed, "trip_date")
 
 
-def _deliver(spark: SparkSession, sf_dir: str, base: str) -> tuple[str, list[str]]:
-    """All trips as monthly files, the earlier ones in an older header and type form."""
-    landing = f"{base}/landing"
-    trips = lineitem_trips(spark, sf_dir)
-    old = F.col("tpep_pickup_datetime") < F.lit(HEADER_CHANGE).cast("timestamp_ntz")
-    write_landing(trips.where(old).drop("loaded_at"), landing)
-    write_landing(as_delivered(trips.where(~old)), landing)
-    first, last = trips.agg(
-        F.min("tpep_pickup_datetime"), F.max("tpep_pickup_datetime")
-    ).first()
-    before = month_start(month_of(first)) - timedelta(days=1)
-    return landing, months_due(before, last)
-
-
-def _loaded(spark: SparkSession, sf_dir: str, label: str, times: int = 1) -> tuple[Store, str]:
-    base = work_dir(spark, label)
-    landing, months = _deliver(spark, sf_dir, base)
-    store = Store(f"{base}/store")
-    for _ in range(times):
-        load_months(spark, store, landing, months, loaded_at=LOADED_AT)
-    return store, landing
-
-
 def load_month_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every month loaded twice is every month loaded once."""
-    store, _ = _loaded(spark, sf_dir, "load", times=2)
+    store, _ = loaded(spark, sf_dir, "load", times=2)
     return read_raw(spark, store)
 
 
 def watermark_next_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store, _ = _loaded(spark, sf_dir, "watermark")
+    store, _ = loaded(spark, sf_dir, "watermark")
     return read_watermark(spark, store).withColumn(
         "next_month", following_month(F.col("last_loaded_month"))
     )
@@ -234,13 +202,12 @@ def watermark_next_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One success per month, and the failure of a month that was not delivered."""
-    store, landing = _loaded(spark, sf_dir, "audit")
+    store, landing = loaded(spark, sf_dir, "audit")
     missing = next_month(last_loaded_month(spark, store, SOURCE_NAME), LOADED_AT)
     try:
         load_month(spark, store, landing, missing)
-    except AnalysisException as error:  # recorded in the audit table, which is the point here
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    except FileNotFoundError:
+        pass  # recorded in the audit table, which is the point here
     return read_audit(spark, store).select(
         "source_name", "month", "source_file", "status", "rows_loaded",
         (F.col("error_message").isNotNull()).alias("has_error"),
@@ -249,14 +216,14 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load, build and read back the trends mart from stored tables."""
-    store, _ = _loaded(spark, sf_dir, "marts")
+    store, _ = loaded(spark, sf_dir, "marts")
     build.build_marts(spark, store)
     return build.trends(spark, store)
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark, "stream")
-    landing, _ = _deliver(spark, sf_dir, base)
+    landing, _ = deliver(spark, sf_dir, base)
     store = Store(f"{base}/store")
     ingest_new_months(spark, store, landing, f"{base}/progress", loaded_at=LOADED_AT)
     return read_raw(spark, store)
@@ -293,4 +260,5 @@ QUERIES: dict[str, Query] = {
     "top_zones": lambda s, d: reports.top_zones(zones(s, d)),
     "latest_days": lambda s, d: reports.latest_days(daily(s, d)),
     "latest_trends": lambda s, d: reports.latest_trends(trends(s, d)),
+    **STORED_QUERIES,
 }

@@ -147,3 +147,22 @@ AUDIT = _struct(
     ("finished_at", TIMESTAMP),
     ("duration_secs", MONEY),
 )
+
+# What a raw version knows of each file, and months the stream has set aside.
+FILE_FACTS = _struct(
+    ("source_file", TEXT),
+    ("rows", BIGINT),
+    ("first_pickup", TIMESTAMP),
+    ("last_pickup", TIMESTAMP),
+    ("loaded_at", TIMESTAMP),
+)
+
+QUARANTINE = _struct(
+    ("source_name", TEXT),
+    ("month", TEXT),
+    ("source_file", TEXT),
+    ("delivery", TEXT),
+    ("error_message", TEXT),
+    ("healed", T.BooleanType()),
+    ("noted_at", TIMESTAMP),
+)
