@@ -176,7 +176,7 @@ def routes(words: DataFrame) -> DataFrame:
 
 
 def edges(routes: DataFrame) -> DataFrame:
-    """parent, child, label and, where the child ends a word, that word and its n."""
+    """parent, child, label, the letters further on and the word (with its n) ending at the child."""
     hop = F.explode(F.expr("sequence(0, size(stops) - 2)")).alias("i")
     pair = (
         routes.where("size(stops) > 1")
@@ -185,7 +185,7 @@ def edges(routes: DataFrame) -> DataFrame:
     )
     ends = "b.depth = char_length(spelled)"
     label = "substr(spelled, a.depth + 1, b.depth - a.depth)"
-    return stored(
+    plain = stored(
         pair.selectExpr(
             "b.node AS child",
             "a.node AS parent",
@@ -197,25 +197,47 @@ def edges(routes: DataFrame) -> DataFrame:
         .withColumn("first", F.expr("substr(label, 1, 1)")),
         "edges",
     )
+    # At most as many letters as the alphabet has.
+    further = plain.groupBy(F.col("parent").alias("child")).agg(
+        F.array_join(F.collect_set("first"), "").alias("further")
+    )
+    return stored(
+        plain.join(further, "child", "left").withColumn("further", F.coalesce("further", F.lit(""))),
+        "edges",
+    )
 
 
 _LEFT = "char_length(spelled) - pos"
 
 
-def _one_edit(states: DataFrame, trie: DataFrame) -> DataFrame:
-    """States that read the label of an edge with one letter replaced or deleted."""
+#: What can't go on behind a label is not kept: neither a word nor an edge begins there.
+_GOES_ON = (
+    f"if({_LEFT} = 0, at IS NOT NULL, contains(further, substr(spelled, pos + 1, 1)))"
+)
+_STATE = ["word", "n", "spelled", "pos", "child AS node", "at"]
 
-    def read(letters: str) -> str:
-        fits = f"{_LEFT} >= {letters}"
-        return (
-            f"if({fits} AND levenshtein(substr(spelled, pos + 1, {letters}), label, 1) = 1,"
-            f" pos + {letters}, NULL)"
-        )
 
+def _one_edit(states: DataFrame, trie: DataFrame) -> DataFrame:
+    """States that read the label of an edge with one letter replaced or deleted."""
     size = "char_length(label)"
-    after = F.explode(F.expr(f"array_compact(array({read(size)}, {read(f'{size} + 1')}))"))
+    # A label of one letter is the common case.
+    replaced = (
+        f"if({size} = 1, {_LEFT} > 0 AND substr(spelled, pos + 1, 1) <> label,"
+        f" {_LEFT} >= {size} AND levenshtein(substr(spelled, pos + 1, {size}), label, 1) = 1)"
+    )
+    deleted = (
+        f"if({size} = 1, {_LEFT} > 1 AND contains(substr(spelled, pos + 1, 2), label),"
+        f" {_LEFT} > {size} AND levenshtein(substr(spelled, pos + 1, {size} + 1), label, 1) = 1)"
+    )
     met = states.join(trie, states["node"] == trie["parent"])
-    return met.select("word", "n", "spelled", after.alias("pos"), F.col("child").alias("node"), "at")
+    after = f"array(if({replaced}, pos + {size}, NULL), if({deleted}, pos + {size} + 1, NULL))"
+    return (
+        met.select(
+            "word", "n", "spelled", "child", "at", "further", F.explode(F.expr(after)).alias("pos")
+        )
+        .where(f"pos IS NOT NULL AND {_GOES_ON}")
+        .selectExpr(_STATE)
+    )
 
 
 def _no_edit(states: DataFrame, trie: DataFrame) -> DataFrame:
@@ -225,9 +247,9 @@ def _no_edit(states: DataFrame, trie: DataFrame) -> DataFrame:
         states.withColumn("opens", opens)
         .join(trie, (F.col("node") == F.col("parent")) & (F.col("opens") == F.col("first")))
         .where("substr(spelled, pos + 1, char_length(label)) = label")
-        .selectExpr(
-            "word", "n", "spelled", "pos + char_length(label) AS pos", "child AS node", "at"
-        )
+        .withColumn("pos", F.expr("pos + char_length(label)"))
+        .where(_GOES_ON)
+        .selectExpr(_STATE)
     )
 
 
