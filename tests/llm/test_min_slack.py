@@ -154,8 +154,12 @@ def test_encoder_is_the_library(monkeypatch):
     rng, encoder = random.Random(7), min_slack.Encoder(word_tokenizer())
     some = (
         "a b Z é É é ́ ' 's 'll don't 12 3.5 \n \r\n \t     \x1c \x85 ß İ 漢字 🙂 ... "
-        "<|endoftext|> <|startoftext|> _ - http://x.y/z 가 ﬁ ‍ Σ"
+        "<|endoftext|> <|startoftext|> <|ENDOFTEXT|> Word, word. End.) No!? A.b, x'S _ - http://x.y/z 가 ﬁ ‍ Σ"
     ).split(" ")
-    for _ in range(3000):
-        text = "".join(rng.choice(some) + rng.choice(["", " ", "  "]) for _ in range(rng.randint(0, 40)))
-        assert np.frombuffer(encoder(text), encoder.dtype).tolist() == whole_ids(text)[:-1]
+    for _ in range(1500):
+        texts = [
+            "".join(rng.choice(some) + rng.choice(["", " ", "  "]) for _ in range(rng.randint(0, 40)))
+            for _ in range(rng.randint(1, 4))
+        ]
+        for text, ids in zip(texts, encoder(texts), strict=True):
+            assert np.frombuffer(ids, encoder.dtype).tolist() == whole_ids(text)[:-1]

@@ -18,7 +18,7 @@ with the documents.
 
 Null texts are empty documents (only the end id); a null doc_id is kept; repeated rows are packed
 each; an empty table gives no rows; other columns are ignored. Very long texts are encoded in
-sections of about a million letters, cut at spaces.
+sections of some million letters, cut at spaces.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,27 +38,19 @@ from pyspark.sql import functions as F
 from tripwright.llm.common import KEPT, arrow_rows, lean, stored
 
 #: Spellings between spaces that a worker remembers the ids of, and the longest kept.
-CACHE_WORDS, CACHE_LETTERS = 150_000, 40
+CACHE_WORDS, CACHE_LETTERS = 600_000, 40
 #: Letters of text that a worker splits at a time, and texts in an Arrow batch.
-SECTION_LETTERS, BATCH_ROWS = 1_000_000, 1024
-
-
-class _Known(dict):
-    """Ids of spellings; those too long to be remembered lie in ``now``."""
-
-    def __init__(self):
-        super().__init__({"": b""})
-        self.now: dict[str, bytes] = {}
-
-    def __missing__(self, word: str) -> bytes:
-        return self.now[word]
+SECTION_LETTERS, BATCH_ROWS = 12_000_000, 4096
+#: Texts in which case or marks may matter: special tokens and combining marks.
+_FOLDS_NOT = r"<\||[\x{0300}-\x{036F}]"
 
 
 class Encoder:
     """Ids of whole texts by a tokenizer that treats what lies between spaces by itself.
 
-    That holds where white space is dropped and ends every word. Equal spellings are encoded once
-    as long as they are remembered.
+    That holds where white space is dropped and ends every word. Equal spellings of a slice are
+    encoded once, and those met lately are remembered. Where case is dropped too, and marks at the
+    end of a word are words of their own, ``Word,`` is read as ``word ,``.
     """
 
     def __init__(self, path: str):
@@ -65,30 +58,101 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known = _Known()
-
-    def _section(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
+        self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
+        plain = [
+            (token.content, i)
+            for i, token in self.tokenizer.get_added_tokens_decoder().items()
+            if token.special and not (token.lstrip or token.rstrip or token.single_word)
+        ]
+        self.mark = max(plain, key=lambda x: x[1], default=("", -1))
+        self.folds = self._encode(["Ab,", "a.?"]) == [
+            b"".join(self._encode(x)) for x in (["ab", ","], ["a", ".?"])
+        ]
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each spelling; all in one text, if a special token can stand between them."""
+        mark, mark_id = self.mark
+        text = mark.join(words)
+        if mark and text.count(mark) == len(words) - 1:
+            (done,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(done.ids, self.dtype)
+            edges = [-1, *np.flatnonzero(ids == mark_id).tolist(), len(ids)]
+            return [ids[a + 1 : b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
+        done = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(x.ids, self.dtype).tobytes() for x in done]
+
+    def _lookup(self, words: list[str]) -> list[bytes]:
+        """Ids of each of the words, a list without repeats."""
         if len(self.known) > CACHE_WORDS:
-            self.known = _Known()
-        new = list(set(words).difference(self.known))
-        if new:
-            done = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            found = {w: np.array(x.ids, self.dtype).tobytes() for w, x in zip(new, done, strict=True)}
-            self.known.now = {w: x for w, x in found.items() if len(w) > CACHE_LETTERS}
-            self.known.update((w, x) for w, x in found.items() if len(w) <= CACHE_LETTERS)
-        return b"".join([self.known[w] for w in words])
-
-    def __call__(self, text: str) -> bytes:
-        if len(text) <= SECTION_LETTERS:
-            return self._section(text)
-        done, at = [], 0
-        while at < len(text):
+            self.known, self.earlier = {}, self.known
+        known = self.known
+        found = list(map(known.get, words))
+        new = [i for i, x in enumerate(found) if x is None]
+        ids = list(map(self.earlier.get, [words[i] for i in new]))
+        if unknown := [i for i, x in zip(new, ids, strict=True) if x is None]:
+            learnt = iter(self._encode([words[i] for i in unknown]))
+            ids = [next(learnt) if x is None else x for x in ids]
+        for i, x in zip(new, ids, strict=True):
+            found[i] = x
+        known.update((words[i], found[i]) for i in new if len(words[i]) <= CACHE_LETTERS)
+        return found
+
+    def _spaced(self, texts: pa.Array) -> pa.Array:
+        """The texts with a space before marks that end a word, and A-Z lower-cased."""
+        spaced = pc.replace_substring(texts, "\n", " ")
+        if not self.folds:
+            return spaced
+        low = pc.replace_substring_regex(
+            pc.ascii_lower(spaced), r"([a-z])([.,;:!?]+)( |$)", r"\1 \2\3"
+        )
+        # Special tokens go by case, and a letter may only be composed with a mark in lower case.
+        return pc.if_else(pc.match_substring_regex(spaced, _FOLDS_NOT), spaced, low)
+
+    def _slice(self, texts: list[str]) -> list[bytes]:
+        spaced = self._spaced(pa.array(texts, pa.large_string()))
+        words = pc.split_pattern(spaced, " ")
+        coded = words.flatten().dictionary_encode()
+        found = self._lookup(coded.dictionary.to_pylist())
+        width = np.dtype(self.dtype).itemsize
+        # A slice has far fewer than 2^31 ids.
+        each = np.fromiter(map(len, found), np.int32, len(found)) // width
+        start = np.cumsum(each, dtype=np.int32) - each
+        which = coded.indices.to_numpy()
+        sizes = each[which]
+        upto = np.concatenate([[0], np.cumsum(sizes, dtype=np.int32)]).astype(np.int32)
+        at = np.repeat(start[which] - upto[:-1], sizes) + np.arange(upto[-1], dtype=np.int32)
+        ids = np.frombuffer(b"".join(found), self.dtype)[at]
+        edges = upto[words.offsets.to_numpy()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        done, group, size = [], [], 0
+        for owner, section in _sections(texts):
+            group.append((owner, section))
+            size += len(section)
+            if size > SECTION_LETTERS:
+                done += zip([o for o, _ in group], self._slice([x for _, x in group]), strict=True)
+                group, size = [], 0
+        if group:
+            done += zip([o for o, _ in group], self._slice([x for _, x in group]), strict=True)
+        out = [[] for _ in texts]
+        for owner, ids in done:
+            out[owner].append(ids)
+        return [b"".join(x) for x in out]
+
+
+def _sections(texts: list[str]) -> Iterator[tuple[int, str]]:
+    """Each text with its number; very long ones in several sections that begin at a space."""
+    for i, text in enumerate(texts):
+        at = 0
+        while len(text) - at > SECTION_LETTERS:
             end = text.find(" ", at + SECTION_LETTERS)
-            end = len(text) if end < 0 else end
-            done.append(self._section(text[at:end]))
+            if end < 0:
+                break
+            yield i, text[at:end]
             at = end
-        return b"".join(done)
+        yield i, text[at:] if at else text
 
 
 def _encoder(path: str) -> Encoder:
@@ -113,7 +177,7 @@ def tokens(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
         width = len(end)
         part, seen, wholes = TaskContext.get().partitionId(), Counter(), 0
         for batch in lean(batches, keep=tokenizer):
-            ids = [encoder(text) + end for text in batch["text"].to_pylist()]
+            ids = [x + end for x in encoder(batch["text"].to_pylist())]
             size = [len(x) // width for x in ids]
             rows = []
             for n in size:
