@@ -7,24 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripwright.llm import pfair_mix, set_relations, site_bayes, token_records, winnowing
-from tripwright.llm.common import fresh, table
+from tripwright.llm.common import arrow_rows, fresh, table
 from tripwright.llm.queries import byte_tokenizer
 from tripwright.session import work_dir
 
+#: Texts in an Arrow batch. The JVM holds batches outside its heap, several at a time.
+BATCH_TEXTS = 1024
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the classifier doesn't reject."""
-    return site_bayes.accepted(docs, table(spark, sf_dir, "labels"))
+    with arrow_rows(spark, BATCH_TEXTS):
+        return site_bayes.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return set_relations.one_of_each(docs)
+    with arrow_rows(spark, BATCH_TEXTS):
+        return set_relations.one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that aren't contaminated with benchmark items."""
-    return winnowing.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    with arrow_rows(spark, BATCH_TEXTS):
+        return winnowing.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

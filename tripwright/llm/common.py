@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import ctypes
+import os
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwright.session import work_dir
@@ -39,6 +41,21 @@ def fresh(taken: Iterable[str], *names: str) -> list[str]:
     return out
 
 
+def with_places(docs: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """The rows, and two columns under free names that tell each from all others.
+
+    These are a hash of its file's path and its place there. Rows that aren't read from files that
+    say so are stored first.
+    """
+    try:
+        docs.select(docs.metadataColumn("_metadata")["row_index"]).schema  # noqa: B018
+    except AnalysisException:
+        docs = stored(docs, "placed")
+    at = docs.metadataColumn("_metadata")
+    file, row = fresh(docs.columns, "place_file", "place_row")
+    return docs, {file: F.xxhash64(at["file_path"]), row: at["row_index"]}
+
+
 def signed(hashes: np.ndarray) -> pa.Array:
     """Unsigned 64-bit hashes as Spark's long."""
     return pa.array(hashes.view(np.int64))
@@ -66,6 +83,20 @@ def give_back() -> None:
         trim(0)
 
 
+def share(total: int) -> int:
+    """This worker's part of what all Python workers of an executor may keep together.
+
+    They are children of one daemon. Tasks take turns on them, so each comes to hold a store of
+    its own, and only the sum has to fit beside the JVM.
+    """
+    try:
+        parent = os.getppid()
+        with open(f"/proc/{parent}/task/{parent}/children") as children:
+            return total // max(1, len(children.read().split()))
+    except OSError:  # not a system that tells
+        return total // 4
+
+
 #: What a Python worker keeps from task to task, such as a tokenizer.
 KEPT: dict[str, object] = {}
 

@@ -30,11 +30,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import Bloom, big_enough, fresh, lean, ragged, signed, stored
+from tripwright.llm.common import Bloom, big_enough, lean, ragged, signed, stored, with_places
 from tripwright.llm.components import components
 from tripwright.llm.words import UNSPACED, Words, mix, shingles, words
 
@@ -45,7 +44,7 @@ FREQUENT, FREQUENT_COUNT = 1 << 16, 256
 #: A shingle is counted as possibly frequent where it comes this often in a slice.
 LOCAL_COUNT = 8
 #: Packed shingles that one task of the counting shuffle holds, about.
-BUCKET_SHINGLES = 2_000_000
+BUCKET_SHINGLES = 1_000_000
 _U = np.uint64
 
 
@@ -398,15 +397,6 @@ def classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def _stored_rows(docs: DataFrame) -> DataFrame:
-    """``docs``, stored if they aren't read from files that say where each row is."""
-    try:
-        docs.select(docs.metadataColumn("_metadata")["row_index"]).schema  # noqa: B018
-    except AnalysisException:
-        return stored(docs, "set-docs")
-    return docs
-
-
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without all but one of each component, with all their columns.
 
@@ -414,24 +404,22 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     with the least hash of its text, and of equal ones the first by its place in the stored files.
     Rows without shingles all stay.
     """
-    docs = _stored_rows(docs)
-    at = docs.metadataColumn("_metadata")
+    docs, place = with_places(docs)
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "text",
         F.xxhash64("text").alias("mark"),
-        F.xxhash64(at["file_path"]).alias("file"),
-        at["row_index"].alias("row"),
+        *[column.alias(name) for column, name in zip(place.values(), ("file", "row"), strict=True)],
     )
     found = _rooted(keyed, "mark", "file", "row").where("root is not null")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark", "file", "row")
     first = found.groupBy("root").agg(F.min(order).alias("first"))
-    file, row = fresh(docs.columns, "dropped_file", "dropped_row")
+    file, row = place
     gone = (
         found.join(first.select("root", "first.file", "first.row").toDF("root", "one", "nth"), "root")
         .where((F.col("file") != F.col("one")) | (F.col("row") != F.col("nth")))
         .select(F.col("file").alias(file), F.col("row").alias(row))
     )
     gone = stored(gone, "set-gone")
-    placed = docs.withColumns({file: F.xxhash64(at["file_path"]), row: at["row_index"]})
+    placed = docs.withColumns(place)
     return placed.join(gone, [file, row], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

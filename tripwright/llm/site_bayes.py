@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import fresh, give_back, lean, signed, stored
+from tripwright.llm.common import fresh, give_back, lean, signed, stored, with_places
 from tripwright.llm.words import ALPHANUMERIC, UNSPACED, text_bytes, words
 
 #: Bounds of the training sample and of the lexicon.
@@ -321,14 +321,17 @@ def judge(
     cut: float = 0.5,
     prior: float = 0.2,
     sample_rows: int = SAMPLE_ROWS,
+    keep: list[str] | None = None,
 ) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with the judgement's columns, and the names these have.
 
     The names are of: site, path, evidence (log odds), site_rate, path_rate, bad (posterior) and
-    rejected.
+    rejected. With ``keep``, only those columns of ``docs`` come along; they are stored with the
+    evidence, so that it is computed once.
     """
     labels_of = ("site", "path", "evidence", "site_rate", "path_rate", "bad", "rejected")
     names = dict(zip(labels_of, fresh(docs.columns, *labels_of), strict=True))
+    of_site, of_path = fresh([*docs.columns, *names.values()], "of_site", "of_path")
     model = train(docs, labels, sample_rows)
 
     @F.arrow_udf("double")
@@ -344,11 +347,14 @@ def judge(
             names["evidence"]: evidence(F.col("text")),
         }
     )
+    if keep is not None:
+        own = [names[x] for x in ("site", "path", "evidence")]
+        judged = stored(judged.select(*keep, *own), "site-bayes-evidence")
     slim = judged.select(*[F.col(names[x]).alias(x) for x in ("site", "path", "evidence")])
     # Spark sends the rates to every task only while they are small enough, else it shuffles.
     rates = stored(group_rates(slim, prior), "site-bayes-rates").select(
-        F.col("site").alias(names["site"] + "$"),
-        F.col("path").alias(names["path"] + "$"),
+        F.col("site").alias(of_site),
+        F.col("path").alias(of_path),
         F.col("site_rate").alias(names["site_rate"]),
         F.col("path_rate").alias(names["path_rate"]),
     )
@@ -357,11 +363,11 @@ def judge(
     out = (
         judged.join(
             rates,
-            F.col(names["site"]).eqNullSafe(F.col(names["site"] + "$"))
-            & F.col(names["path"]).eqNullSafe(F.col(names["path"] + "$")),
+            F.col(names["site"]).eqNullSafe(F.col(of_site))
+            & F.col(names["path"]).eqNullSafe(F.col(of_path)),
             "left",
         )
-        .drop(names["site"] + "$", names["path"] + "$")
+        .drop(of_site, of_path)
         .withColumn(names["bad"], 1 / (1 + F.exp(-odds)))
         .withColumn(names["rejected"], F.col(names["bad"]) > cut)
     )
@@ -370,5 +376,8 @@ def judge(
 
 def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with their own columns."""
-    judged, names = judge(docs, labels, **options)
-    return judged.where(~F.col(names["rejected"])).select(*[F.col(f"`{c}`") for c in docs.columns])
+    docs, place = with_places(docs)
+    judged, names = judge(docs.withColumns(place), labels, keep=list(place), **options)
+    gone = stored(judged.where(F.col(names["rejected"])).select(*place), "site-bayes-gone")
+    placed = docs.withColumns(place)
+    return placed.join(gone, list(place), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import KEPT, arrow_rows, big_enough, lean
+from tripwright.llm.common import KEPT, arrow_rows, big_enough, lean, share
 from tripwright.llm.words import SLICE_BYTES, run_hashes, slices, text_bytes
 
 _MASK = 0xA282EAD8
@@ -41,8 +41,9 @@ _HEAD = struct.Struct("<QI")
 _ID = struct.Struct("<qH")
 _CHECK = struct.Struct("<I")
 NULL_ID, WIDE = 1, 2
-#: Parts of texts that one Python worker remembers the ids of, at about 40 bytes each.
-CACHE_PARTS = 1_500_000
+#: Parts of texts that the Python workers of an executor remember the ids of together, at about
+#: 40 bytes each.
+CACHE_PARTS = 3_000_000
 #: Texts that a worker takes, and records that it gives, at a time.
 BATCH_ROWS = 1024
 _BLANK = np.zeros(256, bool)
@@ -191,7 +192,7 @@ class Encoder:
             keys, first, which = np.unique(
                 run_hashes(data, begins, ends), return_index=True, return_inverse=True
             )
-            if len(self.hashes) > CACHE_PARTS:
+            if len(self.hashes) > share(CACHE_PARTS):
                 self._forget()
             place = np.minimum(np.searchsorted(self.hashes, keys), max(0, len(self.hashes) - 1))
             new = self.hashes[place] != keys if len(self.hashes) else np.ones(len(keys), bool)
