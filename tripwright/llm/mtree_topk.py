@@ -16,8 +16,9 @@ Bounds are widened by a rounding allowance and ties are kept, so the answer is e
 
 Queries meet a page in blocks of ``query_block``, so a task holds one page and one block.
 
-Vectors that are null, hold null or non-finite components, or are not as long as the longest take
-no part; a row with the query's own id is never its answer; equal scores go to the smaller id;
+Scores are summed in float64 where that is exact, else in 64-bit integers; vectors whose inner
+products need more raise an error. Vectors that are null, empty or hold null or non-finite
+components take no part; of vectors of different lengths, what the shorter one lacks is zero; a row with the query's own id is never its answer; equal scores go to the smaller id;
 repeated rows are answers of their own, while queries that repeat an id count once (the least
 vector); an empty table gives an empty result; other columns are ignored.
 """
@@ -45,11 +46,12 @@ def whole_vectors(vectors: DataFrame, scale: int = 256) -> DataFrame:
     )
 
 
-def _matrix(column, width: int) -> np.ndarray:
-    """Vectors of a column as rows of whole float64 numbers, exact below 2**53."""
-    if not len(column):
-        return np.zeros((0, width))
-    return np.stack(list(column)).astype(np.float64)
+def _matrix(column, width: int, kind: type = np.float64) -> np.ndarray:
+    """Vectors of a column as rows of whole numbers, with zeros behind the shorter ones."""
+    out = np.zeros((len(column), width), kind)
+    for row, vector in zip(out, column, strict=True):
+        row[: len(vector)] = vector
+    return out
 
 
 def _lift(x: np.ndarray, most: float) -> np.ndarray:
@@ -82,16 +84,16 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return near[np.lexsort((ids[near], -scores[near]))[:k]]
 
 
-def _visit(visits: DataFrame, pages: DataFrame, width: int, most: float, k: int) -> DataFrame:
+def _visit(visits: DataFrame, pages: DataFrame, width: int, kind: type, k: int) -> DataFrame:
     """The best k of each page for each query that visits it."""
 
     def compare(asked: pd.DataFrame, page: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(asked) and len(page):
             page = page.sort_values("parent_dist", kind="stable")
-            x, ids = _matrix(page["v"], width), page["vec_id"].to_numpy()
+            x, ids = _matrix(page["v"], width, kind), page["vec_id"].to_numpy()
             far = page["parent_dist"].to_numpy()
-            q, own = _matrix(asked["v"], width), asked["query_id"].to_numpy()
+            q, own = _matrix(asked["v"], width, kind), asked["query_id"].to_numpy()
             low = np.searchsorted(far, (asked["dist"] - asked["bound"]).to_numpy(), "left")
             high = np.searchsorted(far, (asked["dist"] + asked["bound"]).to_numpy(), "right")
             for i in range(len(q)):
@@ -133,21 +135,25 @@ def top_k(
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not width:
         return empty
-    vectors, queries = (x.where(F.size("v") == width) for x in (vectors, queries))
+    vectors, queries = (x.where(F.size("v") > 0) for x in (vectors, queries))
     queries = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
-    norm = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
-    rows, most, asked = (
+    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    rows, most, asked, most_asked = (
         vectors.agg(F.count(F.lit(1)), F.max(norm)).first()
-        + queries.agg(F.count(F.lit(1))).first()
+        + queries.agg(F.count(F.lit(1)), F.max(norm)).first()
     )
     if not asked:
         return empty
+    largest = max(most, most_asked)
+    if largest >= 2.0**62:
+        raise ValueError(f"inner products up to {largest:.3g} do not fit 64 bits")
+    kind = np.float64 if largest < 2.0**53 else np.int64
     sample = (
         vectors.orderBy(F.xxhash64("vec_id"), "vec_id")
         .limit(min(max_pivots, big_enough(rows, page_rows)))
         .collect()
     )
-    pivots = np.unique(np.array([r.v for r in sample], np.float64), axis=0)
+    pivots = np.unique(_matrix([r.v for r in sample], width), axis=0)
     root = Routing(pivots, float(most))
 
     def place(frames):
@@ -196,20 +202,21 @@ def top_k(
         F.element_at("dists", F.col("pivot") + 1).alias("dist"),
         F.lit(float("inf")).alias("bound"),
     )
-    seen = stored(_visit(first, pages, width, float(most), k), "mtree-first")
+    seen = stored(_visit(first, pages, width, kind, k), "mtree-first")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     kth = (
         seen.select("query_id", "score", F.row_number().over(ranked).alias("rank"))
         .where(F.col("rank") == k)
         .select("query_id", F.col("score").alias("kth"))
     )
-    norms = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
-    squared = norms + F.lit(most) - 2 * F.col("kth")
+    squared = norm + F.lit(float(most)) - 2 * F.col("kth").cast("double")
     # A home with fewer than k vectors bounds nothing.
     bound = F.when(F.col("kth").isNull(), F.lit(float("inf"))).otherwise(
         F.sqrt(F.greatest(squared.cast("double"), F.lit(0.0)))
     )
-    slack = 1e-9 * float(max(most, 1)) ** 0.5 + 1e-6
+    # Squared distances of large numbers are off by some units of their last place.
+    off = 0.0 if kind is np.float64 else 64 * width * 2.0**-52 * largest
+    slack = 1e-9 * max(largest, 1.0) ** 0.5 + off**0.5 + 1e-6
     pivot, dist = fresh((), "pivot", "dist")
     rest = (
         home.withColumnRenamed("pivot", "own")
@@ -224,7 +231,7 @@ def top_k(
         )
         .select("page", "block", "query_id", "v", dist, "bound")
     )
-    found = seen.unionByName(_visit(rest, pages, width, float(most), k))
+    found = seen.unionByName(_visit(rest, pages, width, kind, k))
     return (
         found.withColumn("rank", F.row_number().over(ranked))
         .where(F.col("rank") <= k)
