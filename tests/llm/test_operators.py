@@ -145,7 +145,6 @@ def test_records_hold_the_ids_of_whole_texts(spark, docs, empty):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
     path = work_dir(spark, "test-records")
     token_records.write_records(docs, path, TOKENIZER, shard_chars=50_000)
     want, kept = {}, Counter()
@@ -568,3 +567,43 @@ def test_pipeline_keeps_clean_documents_and_drops_planted_ones(spark):
     kept = {r.doc_id for r in got.collect()}
     assert got.count() == len(kept) and 0.3 * docs.count() < len(kept) < docs.count()
     assert got.agg(F.max(F.col("start") + F.col("n_tokens"))).first()[0] == got.agg(F.sum("n_tokens")).first()[0]
+
+
+def top_by_brute_force(rows, queries, k=5):
+    out = set()
+    for q, x in queries:
+        scores = sorted(
+            (-sum(int(a) * int(b) for a, b in zip(x, y)), i) for i, y in rows if i != q
+        )
+        out |= {(q, r, i, -s) for r, (s, i) in enumerate(scores[:k], 1)}
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 10**6, 10**8])
+def test_top_k_of_large_components_and_other_lengths(spark, size):
+    rng = np.random.default_rng(size)
+    rows = [(i, (rng.normal(size=12) * size).round().astype(int).tolist()) for i in range(400)]
+    rows += [(400, rng.integers(-9, 9, 40).tolist()), (401, [3 * size]), (402, [])]
+    frame = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    asked = frame.where("vec_id % 20 = 0")
+    got = {tuple(r) for r in mtree_topk.top_k(frame, asked, page_rows=32).collect()}
+    there = [(i, v) for i, v in rows if v]
+    assert got == top_by_brute_force(there, [(i, v) for i, v in there if i % 20 == 0])
+
+
+def test_top_k_refuses_products_beyond_64_bits(spark):
+    frame = spark.createDataFrame([(1, [2**32]), (2, [2**32])], "vec_id long, v array<long>")
+    with pytest.raises(ValueError, match="64 bits"):
+        mtree_topk.top_k(frame, frame)
+
+
+def test_special_tokens_in_texts_are_the_library_s():
+    from tokenizers import Tokenizer
+
+    from tripwright.llm.queries import byte_tokenizer
+
+    library, own = Tokenizer.from_file(byte_tokenizer()), token_records.Encoder(byte_tokenizer())
+    texts = ["a <|endoftext|> b", "x<|endoftext|>. y <|endoftext|><|endoftext|>\nz", "<|endoftext|>"]
+    texts += [f"{a}<|endoftext|>{b}" for a in ("", " ", "w ", "w, ", "\n") for b in ("", " q", ".", "\nq")]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in own(pa.array(texts))] == want

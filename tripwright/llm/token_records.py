@@ -17,7 +17,8 @@ store Spark reaches can hold them and a lost or speculative task leaves nothing
 The index is a Parquet table beside the records: doc_id, file, offset, length, shard, start,
 n_tokens, ids_crc32. A reader that wants documents in another order sorts the index and seeks.
 
-Null texts are empty documents (only the end id); a null doc_id sorts first and is kept; rows that
+The string of a special token in a text is that token, as the library has it. Null texts are empty
+documents (only the end id); a null doc_id sorts first and is kept; rows that
 repeat a doc_id are all kept, ordered by a hash of their text; an empty table gives no record and
 an empty index; other columns are ignored.
 """
@@ -107,7 +108,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         self.wide = len(vocabulary) > 1 << 16
         self.dtype = "<u4" if self.wide else "<u2"
