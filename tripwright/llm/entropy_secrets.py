@@ -10,7 +10,7 @@ threshold, unless an allow-list pattern finds it, a base span overlaps it, or it
 a letter.
 
 Spans are ``kind:start:end`` in code points, end exclusive. Null texts are empty and have no
-secrets; rows that repeat are each scanned; other columns are kept by ``scan``; an empty table
+secrets; rows that repeat are each scanned; time grows about in proportion to a text's matches; other columns are kept by ``scan``; an empty table
 gives no rows.
 """
 
@@ -50,6 +50,9 @@ ALLOW = (
     r"^sha(1|256|384|512)-",  # integrity hashes
 )
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
+_MARKED = "array<struct<start:int,new:int,end:int,kind:int,meets:boolean>>"
+#: Matches that one inner array holds while their places are added up.
+CHUNK = 256
 
 
 def _let(value: Column, use) -> Column:
@@ -57,38 +60,60 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def _scan(items: Column, zero: Column, outs: str, step) -> Column:
+    """``out`` of every item, from ``step(state, item)``, a struct of the next state and ``out``.
+
+    Appending copies an array; items go by ``CHUNK``, so what is copied for each stays small.
+    """
+
+    def of_chunk(state: Column, chunk: Column) -> Column:
+        def one(a: Column, item: Column) -> Column:
+            return _let(
+                step(a["state"], item),
+                lambda r: F.struct(
+                    r["state"].alias("state"),
+                    F.concat(a["outs"], F.array(r["out"])).alias("outs"),
+                ),
+            )
+
+        start = F.struct(state.alias("state"), F.array().cast(outs).alias("outs"))
+        return F.aggregate(chunk, start, one)
+
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / CHUNK).cast("int")),
+        lambda i: F.slice(items, i * CHUNK + 1, F.lit(CHUNK)),
+    )
+
+    def more(a: Column, chunk: Column) -> Column:
+        return _let(
+            of_chunk(a["state"], chunk),
+            lambda r: F.struct(
+                r["state"].alias("state"), F.concat(a["outs"], F.array(r["outs"])).alias("outs")
+            ),
+        )
+
+    start = F.struct(zero.alias("state"), F.array().cast(f"array<{outs}>").alias("outs"))
+    every = F.flatten(F.aggregate(chunks, start, more)["outs"])
+    return F.when(F.size(items) > 0, every).otherwise(F.array().cast(outs))
+
+
 def _spans(text: Column, pattern: str, kind: int, keep) -> Column:
     """Spans of the leftmost non-overlapping matches that ``keep`` (of match and number) holds for."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    # Of the gaps between matches, the last has no match after it.
     lengths = F.zip_with(
-        F.split(text, pattern, -1),
+        F.slice(F.split(text, pattern, -1), 1, F.size(hits)),
         hits,
         lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("hit")),
     )
 
     def place(pieces: Column) -> Column:
-        ends = F.aggregate(
-            pieces,
-            F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans")),
-            lambda a, x: F.struct(
-                (a["at"] + x["gap"] + F.coalesce(x["hit"], F.lit(0))).alias("at"),
-                F.when(x["hit"].isNull(), a["spans"])
-                .otherwise(
-                    F.concat(
-                        a["spans"],
-                        F.array(
-                            F.struct(
-                                (a["at"] + x["gap"]).alias("start"),
-                                F.lit(kind).alias("kind"),
-                                (a["at"] + x["gap"] + x["hit"]).alias("end"),
-                            )
-                        ),
-                    )
-                )
-                .alias("spans"),
-            ),
-        )
-        return ends["spans"]
+        def one(at: Column, x: Column) -> Column:
+            start, end = at + x["gap"], at + x["gap"] + x["hit"]
+            out = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
+            return F.struct(end.alias("state"), out.alias("out"))
+
+        return _scan(pieces, F.lit(0), _SPAN, one)
 
     kept = F.filter(
         F.arrays_zip(_let(lengths, place).alias("span"), keep(hits).alias("ok")), lambda x: x["ok"]
@@ -97,6 +122,51 @@ def _spans(text: Column, pattern: str, kind: int, keep) -> Column:
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPAN))
 
 
+def _apart(added: Column, base: Column) -> Column:
+    """The added spans that no base span overlaps, in two sweeps over both kinds by start."""
+
+    def marked(spans: Column, new: int) -> Column:
+        return F.transform(
+            spans,
+            lambda x: F.struct(
+                x["start"].alias("start"),
+                F.lit(new).alias("new"),
+                x["end"].alias("end"),
+                x["kind"].alias("kind"),
+                F.lit(False).alias("meets"),
+            ),
+        )
+
+    def sweep(items: Column, zero: int, reach, meets) -> Column:
+        def one(state: Column, x: Column) -> Column:
+            is_base = x["new"] == 0
+            out = x.withField("meets", x["meets"] | (~is_base & meets(state, x)))
+            return F.struct(
+                F.when(is_base, reach(state, x)).otherwise(state).alias("state"), out.alias("out")
+            )
+
+        return _scan(items, F.lit(zero), _MARKED, one)
+
+    def swept(items: Column) -> Column:
+        from_left = sweep(
+            items, 0, lambda s, x: F.greatest(s, x["end"]), lambda s, x: s > x["start"]
+        )
+        return _let(
+            F.reverse(from_left),
+            lambda back: sweep(
+                back, 2**31 - 1, lambda s, x: F.least(s, x["start"]), lambda s, x: s < x["end"]
+            ),
+        )
+
+    both = F.array_sort(F.concat(marked(base, 0), marked(added, 1))).cast(_MARKED)
+    free = F.filter(_let(both, swept), lambda x: (x["new"] == 1) & ~x["meets"])
+    spans = F.transform(
+        F.reverse(free),
+        lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")),
+    ).cast(_SPAN)
+    return F.when((F.size(added) > 0) & (F.size(base) > 0), spans).otherwise(added)
+
+
 def _base(text: Column, number: int) -> Column:
     _, pattern, group, least = BASE[number]
 
@@ -207,14 +277,7 @@ def scan(docs: DataFrame, assign: str, access: str, hexes: str, added: str) -> D
         _spans(text, CANDIDATE, len(BASE), lambda hits: F.transform(hits, _random)).alias(added),
     )
 
-    def apart(span: Column) -> Column:
-        meets = [
-            F.exists(name, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-            for name in (assign, access, hexes)
-        ]
-        return ~(meets[0] | meets[1] | meets[2])
-
-    return out.withColumn(added, F.filter(added, apart))
+    return out.withColumn(added, _apart(F.col(added), F.concat(assign, access, hexes)))
 
 
 def report(docs: DataFrame) -> DataFrame:
