@@ -1,17 +1,26 @@
 """Licence scans: normalised text against licence templates by the Dice coefficient.
 
-Units are the lines, the paragraphs (between blank lines) and the whole of a text. Normalising
-folds A-Z, turns every run of other characters than letters and digits into one space and trims.
+Units are the lines, the paragraphs (between blank lines), the whole of a text, and runs: two or
+more neighbouring lines, the first and last with words, of at most (2 - t) / t times a template's
+words for the threshold t. So a licence of any lines is found anywhere inside a text. Normalising
+folds A-Z, turns every run of other characters than letters and digits into one space, which takes
+marks of comments away too, and trims.
 A unit's set is its distinct word bigrams; Dice = 2 * |common| / (|unit| + |template|). To reach the
 threshold t, a unit's set must have between t / (2 - t) and (2 - t) / t times the template's size: the
 templates whose bounds hold a unit's size are found by an equality join on the size, and only
 they are compared. Units without a bigram match nothing.
 
+Runs are looked at only where a text holds enough of a template: first as many of its words as any
+run that matches must have, then as many of its bigrams. A run begins in a line where a bigram of the
+template begins and ends in one where such a one ends, for the best run does.
+
 Everything is Spark expressions; only the few matched units are shuffled. Templates are a
 parameter, at most ``MAX_TEMPLATES``, so their table is small enough to be sent to every task.
 
 ``scan`` returns a row for each doc_id and template found: the best Dice of any unit, that unit's
-kind and number (ties: lines first, then the smaller number) and how many units match. Null and
+kind and number (ties: lines, paragraphs, texts, runs, then the smaller number; a run's number is
+that of its first line, and of runs the one that begins last counts) and how many lines, paragraphs
+and whole texts match, with one more if a run is better than all of them. Null and
 empty texts match nothing; rows that repeat a doc_id, or have none, count as one document; other
 columns are ignored; an empty table gives no rows.
 """
@@ -19,13 +28,16 @@ columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_TEMPLATES = 200
 THRESHOLD = 0.8
-KINDS = ("line", "paragraph", "text")
+KINDS = ("line", "paragraph", "text", "run")
+RUN = 3
 
 # Public licence notices and texts.
 TEMPLATES = {
@@ -111,6 +123,11 @@ def bigrams(words: Column) -> Column:
     return F.array_distinct(pairs)
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of the value, which is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def template_sets(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     """license, template (its set) and n_template of each template with a bigram."""
     if len(templates) > MAX_TEMPLATES:
@@ -145,12 +162,144 @@ def units(docs: DataFrame) -> DataFrame:
     )
 
 
+def fewest_words(pairs: list[str], needed: int) -> int:
+    """So many different words at least hold any ``needed`` of the bigrams.
+
+    Words that are in d bigrams, one by one, hold half the sum of their d at most.
+    """
+    uses = Counter(word for pair in pairs for word in pair.split(" "))
+    held, n = 0, 0
+    for _, d in uses.most_common():
+        held, n = held + d, n + 1
+        if held >= 2 * needed:
+            break
+    return n
+
+
+def run_templates(sets: DataFrame, templates: dict[str, str], threshold: float) -> list[tuple]:
+    """license, its words, how many a text needs, its bigrams, how many it needs, a run's most words."""
+    out = []
+    for r in sets.collect():
+        needed = math.ceil(r.n_template * threshold / (2 - threshold) - 1e-9)
+        words = sorted({word for pair in r.template for word in pair.split(" ")})
+        # As normalising cuts them; repeated words count.
+        n_words = len(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", templates[r.license].lower()))
+        most = math.floor(n_words * (2 - threshold) / threshold + 1e-9)
+        out.append((r.license, words, fewest_words(r.template, needed), r.template, needed, most))
+    return out
+
+
+def runs(docs: DataFrame, sets: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
+    """doc_id, license, dice, kind and unit of the best run from each line where one may begin."""
+    spark = docs.sparkSession
+    rows = run_templates(sets, templates, threshold)
+    if not rows:
+        schema = "doc_id long, license string, dice double, kind int, unit int"
+        return spark.createDataFrame([], schema)
+    parts = spark.createDataFrame(
+        [(name, template, needed, most) for name, _, _, template, needed, most in rows],
+        "name string, template array<string>, needed int, most int",
+    )
+
+    def listed(words: list[str]) -> Column:
+        return F.split(F.lit(" ".join(words)), " ")
+
+    text = F.col("text")
+    many = docs.where(F.contains(text, F.lit("\n"))).select(
+        F.col("doc_id").cast("long").alias("doc_id"), text.alias("body")
+    )
+    wanted = F.array(
+        *[
+            F.struct(F.lit(name).alias("license"), listed(words).alias("words"), F.lit(n).alias("n"))
+            for name, words, n, *_ in rows
+        ]
+    )
+
+    def may_hold(known: Column) -> Column:
+        held = F.filter(wanted, lambda t: F.size(F.array_intersect(t["words"], known)) >= t["n"])
+        return F.transform(held, lambda t: F.struct(t["license"].alias("license")))
+
+    vocabulary = listed(sorted({word for _, words, *_ in rows for word in words}))
+    known = F.array_intersect(F.split(normalised(F.col("body")), " "), vocabulary)
+    pairs = (
+        many.select("doc_id", "body", F.inline(_let(known, may_hold)))
+        .join(F.broadcast(parts), F.col("license") == F.col("name"))
+        .drop("name")
+    )
+
+    def of_line(line: Column, i: Column) -> Column:
+        own = F.filter(F.split(normalised(line), " "), lambda w: w != "")
+        return F.transform(own, lambda w: F.struct(w.alias("word"), i.alias("line")))
+
+    tokens = F.flatten(F.transform(F.split("body", "\n", -1), of_line))
+
+    def from_lines(t: Column) -> Column:
+        """The words from each line on in which a bigram of the template begins, if enough are held."""
+        following = F.zip_with(
+            F.slice(t, 1, F.greatest(F.size(t) - 1, F.lit(0))),
+            F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))),
+            lambda a, b: F.struct(
+                a["line"].alias("line"), F.concat(a["word"], F.lit(" "), b["word"]).alias("pair")
+            ),
+        )
+        firsts = F.filter(
+            F.transform(t, lambda x, i: F.struct(x["line"].alias("line"), i.alias("at"))),
+            lambda x: (x["at"] == 0) | (F.get(t, x["at"] - 1)["line"] != x["line"]),
+        )
+
+        def begins(lines: Column) -> Column:
+            return F.filter(firsts, lambda x: F.array_contains(lines, x["line"]))
+
+        def windows(hits: Column) -> Column:
+            held = F.size(F.array_distinct(F.transform(hits, lambda x: x["pair"])))
+            lines = F.array_distinct(F.transform(hits, lambda x: x["line"]))
+            # One word more shows whether the last line ends there.
+            following = F.transform(
+                _let(lines, begins),
+                lambda x: F.struct(
+                    x["line"].alias("unit"),
+                    F.slice(t, x["at"] + 1, F.col("most") + 1).alias("window"),
+                ),
+            )
+            return F.when(held >= F.col("needed"), following)
+
+        return _let(F.filter(following, lambda x: F.array_contains("template", x["pair"])), windows)
+
+    starts = pairs.select(
+        "doc_id", "license", "template", "most", F.inline(_let(tokens, from_lines))
+    )
+
+    def ends(window: Column) -> Column:
+        places = F.sequence(F.lit(1), F.least(F.size(window), F.col("most")))
+        return F.filter(
+            places,
+            lambda n: (F.get(window, n - 1)["line"] != F.get(window, F.lit(0))["line"])
+            & ~F.get(window, n)["line"].eqNullSafe(F.get(window, n - 1)["line"]),
+        )
+
+    def dice_of(n: Column) -> Column:
+        own = bigrams(F.transform(F.slice("window", 1, n), lambda x: x["word"]))
+        return _let(
+            own,
+            lambda o: F.lit(2.0)
+            * F.size(F.array_intersect(o, "template"))
+            / (F.size(o) + F.size("template")),
+        )
+
+    best = F.array_max(F.transform(ends(F.col("window")), dice_of))
+    return (
+        starts.select("doc_id", "license", best.alias("dice"), F.lit(RUN).alias("kind"), "unit")
+        .where(F.col("dice") >= threshold)
+    )
+
+
 def scan(
     docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD
 ) -> DataFrame:
     """doc_id, license, dice, kind, unit and n_units of each template found in each document."""
     spark = docs.sparkSession
-    sets = template_sets(spark, TEMPLATES if templates is None else templates)
+    templates = TEMPLATES if templates is None else templates
+    sets = template_sets(spark, templates)
     bounds = [
         (r.license, size)
         for r in sets.select("license", "n_template").collect()
@@ -175,20 +324,21 @@ def scan(
         .join(F.broadcast(sets), "license")
         .select("doc_id", "license", dice.alias("dice"), "kind", "unit")
         .where(F.col("dice") >= threshold)
+        .unionByName(runs(docs, sets, templates, threshold))
     )
-    best = F.max_by(
-        F.struct("dice", "kind", "unit"), F.struct("dice", -F.col("kind"), -F.col("unit"))
-    )
+    # Of equal runs the one that begins last has no line to spare before it.
+    place = F.when(F.col("kind") == RUN, F.col("unit")).otherwise(-F.col("unit"))
+    best = F.max_by(F.struct("dice", "kind", "unit"), F.struct("dice", -F.col("kind"), place))
     kinds = F.array(*map(F.lit, KINDS))
     return (
         found.groupBy("doc_id", "license")
-        .agg(best.alias("best"), F.count(F.lit(1)).alias("n_units"))
+        .agg(best.alias("best"), F.count_if(F.col("kind") != RUN).alias("others"))
         .select(
             "doc_id",
             "license",
             F.col("best.dice").alias("dice"),
             F.get(kinds, F.col("best.kind")).alias("kind"),
             F.col("best.unit").alias("unit"),
-            "n_units",
+            (F.col("others") + (F.col("best.kind") == RUN).cast("long")).alias("n_units"),
         )
     )

@@ -91,13 +91,41 @@ WITH u AS (
 ), f AS (
   SELECT doc_id, license, kind, unit, 2.0::DOUBLE * c / (n + m) AS dice
   FROM both_have JOIN size USING (doc_id, kind, unit) JOIN tn USING (license)
+), held AS (  -- texts with too few of a template's pairs have no run that matches
+  SELECT doc_id, license, m, len(w) * 1.5 AS most
+  FROM both_have JOIN tn USING (license) JOIN tw USING (license) WHERE kind = 2 AND 3 * c >= 2 * m
+), tok AS (
+  SELECT doc_id, unit, w[k] AS word, row_number() OVER (PARTITION BY doc_id ORDER BY unit, k) AS p
+  FROM b, unnest(range(1, len(w) + 1)) t(k)
+  WHERE kind = 0 AND w[k] <> '' AND doc_id IN (SELECT doc_id FROM held)
+), pr AS (
+  SELECT doc_id, p, word || ' ' || lead(word) OVER (PARTITION BY doc_id ORDER BY p) AS pair FROM tok
+), ln AS (
+  SELECT doc_id, unit, min(p) AS a, max(p) AS e FROM tok GROUP BY ALL
+), run AS (
+  SELECT h.doc_id, h.license, m, i.unit, i.a, j.e
+  FROM held h JOIN ln i ON i.doc_id = h.doc_id
+    JOIN ln j ON j.doc_id = h.doc_id AND j.unit > i.unit AND j.e - i.a + 1 <= most
+), rd AS (
+  SELECT run.doc_id, run.license, m, run.unit, e, count(DISTINCT pr.pair) AS n,
+    count(DISTINCT tg.pair) AS c
+  FROM run JOIN pr ON pr.doc_id = run.doc_id AND pr.p >= a AND pr.p < e
+    LEFT JOIN tg ON tg.license = run.license AND tg.pair = pr.pair
+  GROUP BY ALL
+), every AS (
+  SELECT * FROM f WHERE dice >= 0.8
+  UNION ALL
+  SELECT doc_id, license, 3, unit, 2.0::DOUBLE * c / (n + m) FROM rd
+  WHERE 2.0::DOUBLE * c / (n + m) >= 0.8
 )
-SELECT doc_id, license, dice, CASE kind WHEN 0 THEN 'line' WHEN 1 THEN 'paragraph' ELSE 'text' END
-  AS kind, CAST(unit AS INTEGER) AS unit, n_units
+SELECT doc_id, license, dice,
+  CASE kind WHEN 0 THEN 'line' WHEN 1 THEN 'paragraph' WHEN 2 THEN 'text' ELSE 'run' END AS kind,
+  CAST(unit AS INTEGER) AS unit, others + (kind = 3)::BIGINT AS n_units
 FROM (
-  SELECT *, count(*) OVER (PARTITION BY doc_id, license) AS n_units,
-    row_number() OVER (PARTITION BY doc_id, license ORDER BY dice DESC, kind, unit) AS r
-  FROM f WHERE dice >= 0.8
+  SELECT *, count(*) FILTER (kind < 3) OVER (PARTITION BY doc_id, license) AS others,
+    row_number() OVER (PARTITION BY doc_id, license
+      ORDER BY dice DESC, kind, CASE kind WHEN 3 THEN -unit ELSE unit END) AS r
+  FROM every
 ) WHERE r = 1
 """
 
