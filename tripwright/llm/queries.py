@@ -40,7 +40,8 @@ def word_tokenizer() -> str:
 
 def op1_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     chars = F.greatest(F.coalesce(F.length("text"), F.lit(0)), F.lit(1)).cast("long")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", chars.alias("n"))
+    unnamed = F.when(F.col("doc_id").isNull(), F.col("text")).alias("text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", chars.alias("n"), unnamed)
     mixed, names = pfair_mix.mix(docs, size="n")
     return mixed.select("doc_id", *[F.col(name).alias(label) for label, name in names.items()])
 
