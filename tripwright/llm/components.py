@@ -2,7 +2,8 @@
 
 Alternating large-star and small-star rounds: every node's larger neighbours are pointed at its
 least neighbour, until each component is a star around its least node. A node of any degree is
-a grouped minimum and a join, never a collected group, and each round is a written table.
+a grouped minimum and a join, never a collected group, and each round is a written table. So are
+the minima, which lets adaptive joins split the edges of a hub.
 """
 
 from __future__ import annotations
@@ -39,12 +40,12 @@ def components(edges: DataFrame) -> DataFrame:
         seen = mark
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (
-            both.join(_least(both), "u")
+            both.join(stored(_least(both), "components-large"), "u")
             .where(F.col("v") > F.col("u"))
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .distinct()
         )
-        least = _least(large)
+        least = stored(_least(large), "components-small")
         small = (
             large.join(least, "u")
             .where(F.col("v") != F.col("m"))

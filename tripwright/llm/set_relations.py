@@ -377,7 +377,9 @@ def _rooted(docs: DataFrame, *keys: str) -> DataFrame:
     total = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shared = _shared(texts, frequent, big_enough(total, BUCKET_SHINGLES))
     entries = _index(nodes, shared)
-    roots = components(_links(entries, _sets(texts, entries)))
+    # Tables of their own here and below: then adaptive joins can split the rows of a text or
+    # component that many repeat.
+    roots = stored(components(_links(entries, _sets(texts, entries))), "set-components")
     return stored(
         nodes.select("doc_id", "n", "node", *keys)
         .join(roots, "node", "left")
@@ -390,7 +392,7 @@ def classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of each row."""
     placed = _rooted(docs)
     least = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return placed.join(least, "root", "left").select(
+    return placed.join(stored(least, "set-least"), "root", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("least", "doc_id").alias("component_id"),
@@ -413,7 +415,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     )
     found = _rooted(keyed, "mark", "file", "row").where("root is not null")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark", "file", "row")
-    first = found.groupBy("root").agg(F.min(order).alias("first"))
+    first = stored(found.groupBy("root").agg(F.min(order).alias("first")), "set-first")
     file, row = place
     gone = (
         found.join(first.select("root", "first.file", "first.row").toDF("root", "one", "nth"), "root")

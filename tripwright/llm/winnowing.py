@@ -173,6 +173,8 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
         stretched.alias("n_hit"),
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
     )
+    # A table of its own: then a text that many rows repeat can be split in the join.
+    found = stored(found, "winnow-found")
     items_found = F.coalesce("items", F.array().cast("array<string>"))
     return scanned.join(found, "key", "left").select(
         "doc_id",
