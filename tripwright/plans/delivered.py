@@ -36,12 +36,16 @@ def deliver(spark: SparkSession, sf_dir: str, base: str) -> tuple[str, list[str]
 def redeliver(
     spark: SparkSession, sf_dir: str, landing: str, month: str, keep: Column | None = None
 ) -> None:
-    """A month delivered anew, whole or with some of its rows."""
+    """A month delivered anew, whole or with some of its rows.
+
+    Rebalancing joins what the tasks of the scan find; one task alone would read the whole table.
+    """
     rows: DataFrame = lineitem_trips(spark, sf_dir)
     rows = rows.where(F.col("source_file") == month_to_filename(month))
     rows = rows if keep is None else rows.where(keep)
     folder = f"{landing}/{PREFIX}{month_to_filename(month)}"
-    rows.drop("source_file", "loaded_at").coalesce(1).write.mode("overwrite").parquet(folder)
+    rows = rows.drop("source_file", "loaded_at").hint("rebalance")
+    rows.write.mode("overwrite").parquet(folder)
 
 
 def spoil(spark: SparkSession, landing: str, month: str) -> None:
