@@ -72,3 +72,35 @@ def test_rows_without_an_id_are_spread_by_their_texts(spark):
     )
     mixed, _ = pfair_mix.mix(docs, block_chars=11)
     assert mixed.select("slot").distinct().count() == 5000
+
+
+def sized(spark, n):
+    return spark.range(n).selectExpr(
+        "id AS doc_id", "concat('s', floor(sqrt(id % 100))) AS source", "10L + id % 7 AS size"
+    )
+
+
+def test_the_schedule_is_laid_out_one_way_whatever_the_size(spark):
+    """A table far below a frame and one of many frames: what tasks lay out, from the first block on."""
+    for n, frame_slots in ((60, 4096), (2000, 4096), (2000, 64)):
+        docs = sized(spark, n)
+        weights = {f"s{k}": 1.0 / (k + 2) for k in range(10)}
+        mixed, _ = pfair_mix.mix(docs, weights=weights, block_chars=20, size="size", frame_slots=frame_slots)
+        got = {(r.source, r.block): (r.phase, r.release, r.deadline, r.slot) for r in mixed.collect()}
+        chars = {r.source: r.chars for r in docs.groupBy("source").agg(F.sum("size").alias("chars")).collect()}
+        top = sorted(chars, key=lambda k: (-chars[k], k))
+        blocks = [-(-chars[k] // 20) for k in top] + [0]
+        early, done = pfair_mix.spans(blocks, [weights[k] for k in top] + [1e-9], 0)
+        assert done == blocks
+        laid = pfair_mix.laid_by_tasks(spark, early, frame_slots).collect()
+        want = {(top[r.code], r.nth): (r.phase, r.release, r.deadline, r.slot) for r in laid}
+        assert got.items() <= want.items() and len(got) > 0.9 * len(want)
+
+
+def test_the_order_does_not_depend_on_the_number_of_chunks(spark, monkeypatch):
+    laid = []
+    for chunk_rows in (1000, 100, 7):
+        monkeypatch.setattr(pfair_mix, "CHUNK_ROWS", chunk_rows)
+        mixed, names = pfair_mix.mix(sized(spark, 900), block_chars=50, size="size")
+        laid.append(sorted(map(tuple, mixed.select("doc_id", *names.values()).collect())))
+    assert laid[0] == laid[1] == laid[2] and len(laid[0]) == 900

@@ -6,17 +6,18 @@ ceil((i + 1) / w); of the released blocks the one with the earliest deadline tak
 While all sources last is a phase; when one runs out, the next begins with the weights of those left
 scaled up. No document is dropped or repeated.
 
-While more than ``driver_blocks`` blocks are left, tasks lay a phase out in frames of about
-``frame_slots`` slots. The driver holds a row of totals for each phase. A phase gives each source a
-whole number of blocks, its target to less than one; the equal whole parts of these go to every
-frame, and the remainders are themselves a smaller schedule, spread evenly over the frames. Each
-frame is scheduled by its own releases and deadlines, so a source is less than one block from its
-target within a frame, and less than one more for each level of remainders: two blocks up to
-``frame_slots`` squared by the number of sources, then three.
-
-The last ``driver_blocks`` blocks, or all of a smaller input, are laid out by the driver with whole
-shares of ``resolution`` or, if that is more, of a hundred times the blocks: there no source is ever
-more than one and a hundredth of a block from its target within a phase.
+Tasks lay out every phase, whatever the size of the input, in frames of about ``frame_slots`` slots.
+The driver holds a row of totals for each phase. A phase gives each source a whole number of blocks,
+its target to less than one; the equal whole parts of these go to every frame, and the remainders
+are themselves a smaller schedule, spread evenly over the frames. Each frame is scheduled by its own
+releases and deadlines, so a source is less than one block from its quota's pace within a frame, and
+less than one more for each level of remainders: one level up to ``frame_slots`` blocks, two up to
+``frame_slots`` squared by the number of sources, then three. The order of a source's documents is
+that of their hashes, however many chunks these are summed in.
+
+Only a caller who asks for it by ``driver_blocks`` has the last so many blocks laid out by the driver,
+with whole shares of ``resolution`` or, if that is more, of a hundred times the blocks: there no source
+is ever more than one and a hundredth of a block from its target within a phase.
 
 Every source that ``weights`` names has its own schedule. Without weights the largest ``max_sources``
 have one; all other sources form one further source.
@@ -311,7 +312,7 @@ def mix(
     resolution: int = 1000,
     max_sources: int = 256,
     size: str | None = None,
-    driver_blocks: int = 1 << 16,
+    driver_blocks: int = 0,
     frame_slots: int = 4096,
 ) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with the schedule's columns, and the names these have.
@@ -338,7 +339,10 @@ def mix(
             names["chars"]: chars,
             names["hash"]: spread,
         }
-    ).withColumn(names["chunk"], F.pmod(n["hash"], F.lit(big_enough(rows, CHUNK_ROWS))))
+    )
+    # Chunks are ranges of the hash, so their number does not change the order.
+    range_of = (F.shiftright(n["hash"], 33) + F.lit(1 << 30)) * F.lit(big_enough(rows, CHUNK_ROWS))
+    keyed = keyed.withColumn(names["chunk"], F.shiftright(range_of.cast("long"), 31))
 
     # Sources by size, the named ones or max_sources rows at most, and all the others as one.
     by_source = keyed.groupBy(n["part"].alias("part")).agg(
